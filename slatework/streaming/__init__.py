@@ -1,0 +1 @@
+"""Intentionally empty: every job here is a batch job over landed files."""
