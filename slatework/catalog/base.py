@@ -49,11 +49,14 @@ def oracles() -> dict[str, str]:
     return dict(_ORACLES)
 
 
-def rounded(df: DataFrame, digits: int = 6) -> DataFrame:
-    """Doubles rounded for comparison, without negative zero."""
+SCALE = 1e6
+
+
+def rounded(df: DataFrame) -> DataFrame:
+    """Doubles rounded to six digits, by the same arithmetic as ``r``."""
     return df.select(
         *[
-            (F.round(F.col(f"`{f.name}`"), digits) + 0.0).alias(f.name)
+            (F.floor(F.col(f"`{f.name}`") * SCALE + 0.5) / SCALE).alias(f.name)
             if isinstance(f.dataType, T.DoubleType)
             else F.col(f"`{f.name}`")
             for f in df.schema
@@ -63,7 +66,7 @@ def rounded(df: DataFrame, digits: int = 6) -> DataFrame:
 
 def r(expression: str, name: str | None = None) -> str:
     """SQL: a rounded double column."""
-    return f"round({expression}, 6) + 0.0 as {name or expression}"
+    return f"floor(({expression}) * 1e6 + 0.5) / 1e6 as {name or expression}"
 
 
 def rs(names: list[str], prefix: str = "") -> str:
