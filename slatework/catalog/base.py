@@ -106,7 +106,7 @@ select game_pk, game_date, season,
  case when l_suppkey % 2 = 0 then 'Top' else 'bottom' end as inning_topbot,
  cast(case when l_quantity <= 6 then l_linenumber % 3 else 0 end as bigint) as rbi,
  cast(l_linenumber % 2 as bigint) as runs_scored_on_pa,
- case when l_linenumber % 2 = 0 then home_team else away_team end as batting_team
+ case when (game_pk + l_partkey) % 2 = 0 then home_team else away_team end as batting_team
 from lineitem join dt_games on l_orderkey = game_pk""",
     "dt_flags": """
 select *, true as is_pa,

@@ -46,13 +46,16 @@ def over_previous(
     buckets = [F.col(order[0])] + ([fine] if fine is not None else [])
     cut = with_segments(df, [by], buckets, max(max_rows, halo), halo)
     from_end = Window.partitionBy(by, "_seg").orderBy(*[F.col(c).desc() for c in order])
-    tail = (F.row_number().over(from_end) <= halo) & F.col("_next").isNotNull()
+    numbered = cut.withColumn("_back", F.row_number().over(from_end))
+    tail = (F.col("_back") <= halo) & F.col("_next").isNotNull()
     # A copy of each tail row also takes part in the following segment.
     parts = F.when(tail, F.array("_seg", "_next")).otherwise(F.array("_seg"))
-    copied = cut.select("*", F.posexplode(parts).alias("_copy", "_part"))
+    copied = numbered.select("*", F.posexplode(parts).alias("_copy", "_part"))
     spec = Window.partitionBy(by, "_part").orderBy(*order)
     rolled = copied.withColumns(build(lambda w: frame(spec, w, lag)))
-    return rolled.filter(F.col("_copy") == 0).drop("_seg", "_next", "_offset", "_copy", "_part")
+    return rolled.filter(F.col("_copy") == 0).drop(
+        "_seg", "_next", "_offset", "_back", "_copy", "_part"
+    )
 
 
 def rolling(
