@@ -49,14 +49,17 @@ def oracles() -> dict[str, str]:
     return dict(_ORACLES)
 
 
-SCALE = 1e6
+# Doubles are compared at six digits. The point where rounding turns is moved a
+# little off the half, so that exact decimal halves (common in sums of short
+# decimals) do not depend on the order of additions.
+SCALE, TURN = 1e6, 0.5001
 
 
 def rounded(df: DataFrame) -> DataFrame:
     """Doubles rounded to six digits, by the same arithmetic as ``r``."""
     return df.select(
         *[
-            (F.floor(F.col(f"`{f.name}`") * SCALE + 0.5) / SCALE).alias(f.name)
+            (F.floor(F.col(f"`{f.name}`") * SCALE + TURN) / SCALE).alias(f.name)
             if isinstance(f.dataType, T.DoubleType)
             else F.col(f"`{f.name}`")
             for f in df.schema
@@ -66,7 +69,7 @@ def rounded(df: DataFrame) -> DataFrame:
 
 def r(expression: str, name: str | None = None) -> str:
     """SQL: a rounded double column."""
-    return f"floor(({expression}) * 1e6 + 0.5) / 1e6 as {name or expression}"
+    return f"floor(({expression}) * 1e6 + {TURN}) / 1e6 as {name or expression}"
 
 
 def rs(names: list[str], prefix: str = "") -> str:

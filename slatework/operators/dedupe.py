@@ -53,5 +53,26 @@ def ordinal(
 
 
 def sample_rows(df: DataFrame, n: int, key: list[str], seed: int = 42) -> DataFrame:
-    """At most ``n`` rows chosen by a seeded hash of the key: the same on every run."""
-    return df.orderBy(F.xxhash64(F.lit(seed), *key), *key).limit(n)
+    """``n`` rows (all, if there are fewer) with the smallest seeded hash of their key.
+
+    The same rows on every run. Hashes are counted by their top 16 bits to find
+    the range the n-th smallest falls into; whole ranges below it are kept by a
+    filter and only that one range is sorted.
+    """
+    hashed = df.withColumn("_hash", F.xxhash64(F.lit(seed), *key)).withColumn(
+        "_range", F.shiftright("_hash", 48)
+    )
+    counts = hashed.groupBy("_range").agg(F.count(F.lit(1)).alias("_n"))
+    upto = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, 0)
+    edge = (
+        counts.withColumn("_upto", F.sum("_n").over(upto))
+        .filter(F.col("_upto") > n)
+        .orderBy("_range")
+        .select("_range", (F.lit(n) - F.col("_upto") + F.col("_n")).alias("_rest"))
+        .first()
+    )
+    if edge is None:
+        return df
+    below = hashed.filter(F.col("_range") < edge["_range"])
+    last = hashed.filter(F.col("_range") == edge["_range"]).orderBy("_hash", *key).limit(edge["_rest"])
+    return below.unionByName(last).drop("_hash", "_range")
