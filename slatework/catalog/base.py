@@ -239,7 +239,8 @@ class Tables:
         return sides.withColumn("side", F.col("is_home").cast("int"))
 
     def make_dt_lineups(self) -> DataFrame:
-        slots = self.dt_sides.select("*", F.explode(F.sequence(F.lit(1), F.lit(9))).alias("slot"))
+        # The orders file is one split; spread it before it grows eighteen-fold.
+        slots = self.dt_sides.repartition("game_pk").select("*", F.explode(F.sequence(F.lit(1), F.lit(9))).alias("slot"))
         text = DERIVED["dt_lineups"].split("from (select *, unnest")[0]
         slots.createOrReplaceTempView("dt_slots")
         self.part.createOrReplaceTempView("part")

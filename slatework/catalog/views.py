@@ -79,11 +79,14 @@ _IDS = ["game_pk", "player_id", "batting_order", "opp_pitcher_id"]
 
 
 def bat_rolls(t: Tables) -> DataFrame:
-    return gametables.add_contact_batter_rolls(gametables.batter_contact_game(t.dt_flags))
+    """Rolling table; like the game table below it, written once and read by several passes."""
+    games = stage(gametables.batter_contact_game(t.dt_flags), "batter_games")
+    return stage(gametables.add_contact_batter_rolls(games), "batter_rolls")
 
 
 def pit_rolls(t: Tables) -> DataFrame:
-    return gametables.add_contact_pitcher_rolls(gametables.pitcher_contact_game(t.dt_flags))
+    games = stage(gametables.pitcher_contact_game(t.dt_flags), "pitcher_games")
+    return stage(gametables.add_contact_pitcher_rolls(games), "pitcher_rolls")
 
 
 def player_history(t: Tables) -> DataFrame:
@@ -151,8 +154,8 @@ _LAST = "select * from {0} qualify row_number() over (partition by {1} order by
 def _game_form(t: Tables) -> tuple[DataFrame, DataFrame]:
     order, windows = ["game_date", "game_pk"], (7, 15)
     flags = contact_flags(t)
-    bat = rolling(gametables.batter_game(flags), "batter_id", order, means=_FORM_BAT, windows=windows)
-    arms = gametables.pitcher_game(flags).withColumn("hr_rate", ratio(F.col("hr_allowed"), F.col("bf")))
+    bat = rolling(stage(gametables.batter_game(flags), "batter_games"), "batter_id", order, means=_FORM_BAT, windows=windows)
+    arms = stage(gametables.pitcher_game(flags), "pitcher_games").withColumn("hr_rate", ratio(F.col("hr_allowed"), F.col("bf")))
     pit = rolling(arms, "pitcher_id", order, means=_FORM_PIT, windows=windows)
     return bat, pit
 
@@ -289,8 +292,9 @@ _MATCHUPS = {
 
 
 def build_mart(t: Tables) -> DataFrame:
-    batters = gametables.add_flag_batter_rolls(gametables.batter_flag_game(t.dt_flags))
-    pitchers = gametables.add_flag_pitcher_rolls(gametables.pitcher_flag_game(t.dt_flags))
+    games = stage(gametables.batter_flag_game(t.dt_flags), "batter_games")
+    batters = gametables.add_flag_batter_rolls(games)
+    pitchers = gametables.add_flag_pitcher_rolls(stage(gametables.pitcher_flag_game(t.dt_flags), "pitcher_games"))
     return mart.build_mart(t.dt_flags, batters, pitchers)
 
 

@@ -17,6 +17,7 @@ from slatework.functions.scoring import band
 from slatework.operators import dedupe, slates
 from slatework.operators.rolling import WINDOWS, rolling
 from slatework.plans import gametables
+from slatework.session import stage
 
 LINE_KEY = [c.strip() for c in PA_ORDER.split(",")]
 
@@ -106,7 +107,7 @@ def _rates(names) -> list[str]:
     f"select game_pk, batter_id, cast(pa_roll7 as bigint) as pa_roll7, {r('rbi_roll30')}, {', '.join(r(c) for c in _rates(B_RATES))} from ({BATTER_FLAG_ROLLS})",
 )
 def _(t: Tables) -> DataFrame:
-    rolled = gametables.add_flag_batter_rolls(gametables.batter_flag_game(t.dt_flags))
+    rolled = gametables.add_flag_batter_rolls(stage(gametables.batter_flag_game(t.dt_flags), "batter_games"))
     return rolled.select("game_pk", "batter_id", "pa_roll7", "rbi_roll30", *_rates(B_RATES))
 
 
@@ -115,7 +116,7 @@ def _(t: Tables) -> DataFrame:
     f"select game_pk, pitcher_id, {', '.join(r(c) for c in _rates(P_RATES))} from ({PITCHER_FLAG_ROLLS})",
 )
 def _(t: Tables) -> DataFrame:
-    rolled = gametables.add_flag_pitcher_rolls(gametables.pitcher_flag_game(t.dt_flags))
+    rolled = gametables.add_flag_pitcher_rolls(stage(gametables.pitcher_flag_game(t.dt_flags), "pitcher_games"))
     return rolled.select("game_pk", "pitcher_id", *_rates(P_RATES))
 
 
@@ -142,7 +143,7 @@ PITCHER_CONTACT_ROLLS = contact_rolls(
     f"select game_pk, batter_id, {', '.join(r('bat_' + c) for c in _rates(BAT_NAMES))} from ({BATTER_CONTACT_ROLLS})",
 )
 def _(t: Tables) -> DataFrame:
-    rolled = gametables.add_contact_batter_rolls(gametables.batter_contact_game(t.dt_flags))
+    rolled = gametables.add_contact_batter_rolls(stage(gametables.batter_contact_game(t.dt_flags), "batter_games"))
     return rolled.select("game_pk", "batter_id", *["bat_" + c for c in _rates(BAT_NAMES)])
 
 
@@ -151,7 +152,7 @@ def _(t: Tables) -> DataFrame:
     f"select game_pk, pitcher_id, {', '.join(r('pit_' + c) for c in _rates(PIT_NAMES))} from ({PITCHER_CONTACT_ROLLS})",
 )
 def _(t: Tables) -> DataFrame:
-    rolled = gametables.add_contact_pitcher_rolls(gametables.pitcher_contact_game(t.dt_flags))
+    rolled = gametables.add_contact_pitcher_rolls(stage(gametables.pitcher_contact_game(t.dt_flags), "pitcher_games"))
     return rolled.select("game_pk", "pitcher_id", *["pit_" + c for c in _rates(PIT_NAMES)])
 
 

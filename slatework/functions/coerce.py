@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -18,6 +19,11 @@ AWAY_TOKENS = ["false", "0", "n", "no", "away", "@"]
 _NUMBER = r"^\s*[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?\s*$"
 
 
+def literal_map(values: dict, dtype: str = "map<string,string>") -> Column:
+    """A constant map, passed as one literal and folded by the optimizer."""
+    return F.from_json(F.lit(json.dumps(values)), dtype)
+
+
 def null_of(dtype: str) -> Column:
     return F.lit(None).cast(dtype)
 
@@ -86,6 +92,27 @@ def flag_int(value: Column) -> Column:
     return F.coalesce(flag(value).cast("bigint"), truncated, F.lit(0).cast("bigint"))
 
 
+def flag_of(df: DataFrame, name: str) -> Column:
+    """Three-valued boolean of a column; only text is compared as text."""
+    dtype = type_of(df, name)
+    if isinstance(dtype, T.BooleanType):
+        return F.col(name)
+    if isinstance(dtype, T.NumericType):
+        return F.when(F.col(name) == 1, True).when(F.col(name) == 0, False)
+    return flag(F.col(name))
+
+
+def flag_int_of(df: DataFrame, name: str) -> Column:
+    """0/1 of a column, null and junk counting as 0; only text is compared as text."""
+    dtype = type_of(df, name)
+    zero = F.lit(0).cast("bigint")
+    if isinstance(dtype, T.BooleanType):
+        return F.coalesce(F.col(name).cast("bigint"), zero)
+    if isinstance(dtype, T.NumericType):
+        return F.coalesce(number(F.col(name)).try_cast("bigint"), zero)
+    return flag_int(F.col(name))
+
+
 def home_flag(value: Column) -> Column:
     token = F.lower(F.trim(value.cast("string")))
     return F.when(token.isin(HOME_TOKENS), True).when(token.isin(AWAY_TOKENS), False)

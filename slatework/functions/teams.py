@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from slatework.functions.coerce import literal_map
+
 # The retro-style codes used by ingest tables. Letters only.
 RETRO = {
     "AZ": "ARI", "CUBS": "CHC", "CWS": "CHA", "CHW": "CHA", "WHITESOX": "CHA",
@@ -93,10 +95,6 @@ PARK_FACTORS = {
 }
 
 
-def literal_map(values: dict[str, str]) -> Column:
-    return F.create_map(*[F.lit(part) for pair in values.items() for part in pair])
-
-
 def lookup(key: Column, values: dict[str, str], overrides: dict[str, str] | None = None) -> Column:
     """Value of a constant dictionary, null when the key is absent."""
     table = literal_map({**values, **(overrides or {})})
@@ -127,13 +125,7 @@ def roof_class(team: Column) -> Column:
 
 def park_factor_columns(team: Column) -> list[Column]:
     """The four factors of a home team, 1.0 when it is unknown or null."""
-    table = F.create_map(
-        *[
-            part
-            for name, factors in PARK_FACTORS.items()
-            for part in (F.lit(name), F.array(*[F.lit(x) for x in factors]))
-        ]
-    )
+    table = literal_map(PARK_FACTORS, "map<string,array<double>>")
     row = F.when(team.isNotNull(), F.try_element_at(table, team))
     return [
         F.coalesce(F.get(row, i), F.lit(1.0)).alias(name) for i, name in enumerate(PARK_COLUMNS)

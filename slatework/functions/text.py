@@ -15,6 +15,8 @@ from functools import lru_cache
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from slatework.functions.coerce import literal_map
+
 # Generation suffixes dropped from a name.
 SUFFIX = r"(?U)\b(jr|sr|ii|iii|iv|v)\b\.?"
 
@@ -44,7 +46,7 @@ def fold_accents(value: Column) -> Column:
     single_from, single_to, marks, multi = _fold_tables()
     # Characters past the end of the replacement text are deleted.
     folded = F.translate(value, single_from + marks, single_to)
-    lookup = F.create_map(*[F.lit(part) for pair in multi for part in pair])
+    lookup = literal_map(dict(multi))
     expand = F.concat_ws(
         "", F.transform(F.split(folded, ""), lambda c: F.coalesce(F.try_element_at(lookup, c), c))
     )

@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from slatework.functions.coerce import flag, flag_int, int_of, null_of, num_of, ratio
+from slatework.functions.coerce import flag_int_of, flag_of, int_of, null_of, num_of, ratio
 from slatework.functions.events import barrel, hard_hit, total_bases
 from slatework.functions.teams import CONTACT, team_code
 from slatework.operators.rolling import WINDOWS, over_previous, rolling, rolling_ratios
@@ -118,7 +118,7 @@ def _contact(pa: DataFrame) -> DataFrame:
 
 
 def _flag_or_zero(df: DataFrame, name: str) -> Column:
-    return flag_int(F.col(name)) if name in df.columns else F.lit(0).cast("bigint")
+    return flag_int_of(df, name) if name in df.columns else F.lit(0).cast("bigint")
 
 
 def _label(df: DataFrame, names: list[str]) -> Column:
@@ -129,7 +129,7 @@ def batter_contact_game(pa: DataFrame) -> DataFrame:
     """Batter-game table; denominators count all rows, missing speed stays null."""
     df = _contact(pa)
     single, double, triple, homer = (_flag_or_zero(df, c) for c in ("is_1b", "is_2b", "is_3b", "is_hr"))
-    hit = flag_int(F.col("is_hit")) if "is_hit" in df.columns else F.least(single + double + triple + homer, F.lit(1))
+    hit = flag_int_of(df, "is_hit") if "is_hit" in df.columns else F.least(single + double + triple + homer, F.lit(1))
     df = df.withColumns(
         {
             "_hit": hit,
@@ -238,7 +238,7 @@ def flagged(pa: DataFrame) -> DataFrame:
     zero = F.lit(0).cast("bigint")
     casts = {c: int_of(pa, c) for c in ("season", "game_pk", "batter_id", "pitcher_id")}
     casts.update(
-        {f: F.coalesce(flag(F.col(f)).cast("bigint"), zero) if f in have else zero for f in FLAGS}
+        {f: F.coalesce(flag_of(pa, f).cast("bigint"), zero) if f in have else zero for f in FLAGS}
     )
     for c in ("runs_scored_on_pa", "rbi"):
         casts[c] = F.coalesce(num_of(pa, c), F.lit(0.0)) if c in have else F.lit(0.0)

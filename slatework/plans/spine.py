@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from slatework.functions.coerce import (
     date_text,
-    flag,
+    flag_of,
     int_of,
     null_of,
     num_of,
@@ -23,7 +23,7 @@ _READ = {
     "i": (int_of, "bigint"),
     "f": (num_of, "double"),
     "s": (text_of, "string"),
-    "b": (lambda df, name: flag(F.col(name)), "boolean"),
+    "b": (flag_of, "boolean"),
     "d": (lambda df, name: date_text(F.col(name)), "string"),
     "t": (lambda df, name: F.col(name).try_cast("timestamp"), "timestamp"),
 }

@@ -6,12 +6,12 @@ no token is shuffled.
 
 from __future__ import annotations
 
-from functools import lru_cache
 from html.entities import html5
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from slatework.functions.coerce import literal_map
 from slatework.functions.teams import PAGE, PAGE_TEAMS, team_code
 from slatework.functions.text import page_title_date
 
@@ -30,14 +30,9 @@ _HIDDEN = r"(?is)<!--.*?-->|<(script|style|template)\b[^>]*>.*?</\1\s*>"
 _TAG = r"(?s)<[^>]*>"
 
 
-@lru_cache(maxsize=None)
-def _entity_pairs() -> tuple[tuple[str, str], ...]:
-    return tuple((name, text) for name, text in html5.items() if name.endswith(";"))
-
-
 def unescape(text: Column) -> Column:
     """Decode character references, named (per the HTML tables) and numeric."""
-    named = F.create_map(*[F.lit(p) for pair in _entity_pairs() for p in pair])
+    named = literal_map({name: char for name, char in html5.items() if name.endswith(";")})
 
     def decoded(ref: Column) -> Column:
         body = F.regexp_replace(F.lower(ref), "[&#;]", "")

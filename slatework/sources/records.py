@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from slatework.functions.coerce import (
     date_text,
-    flag,
+    flag_of,
     int_of,
     null_of,
     num_of,
@@ -79,7 +79,7 @@ def event_flags(df: DataFrame) -> dict[str, Column]:
     out = {}
     for name in EVENT_FLAGS:
         explicit = pick(df.columns, EXPLICIT_FLAGS[name])
-        out[name] = flag(F.col(explicit)) if explicit else event_flag(name, event, rbi)
+        out[name] = flag_of(df, explicit) if explicit else event_flag(name, event, rbi)
     return out
 
 
@@ -127,7 +127,7 @@ def plate_appearances(
 
 def _home(df: DataFrame) -> Column:
     name = pick(df.columns, ["is_home", "home_flag"])
-    return flag(F.col(name)) if name else F.lit(False)
+    return flag_of(df, name) if name else F.lit(False)
 
 
 def _game_fields(df: DataFrame) -> list[Column]:
@@ -145,7 +145,7 @@ def _game_fields(df: DataFrame) -> list[Column]:
 def lineups(df: DataFrame, status: str, source: str | None = None) -> DataFrame:
     """One normalised row per listed player."""
     starting = (
-        flag(F.col("is_starting_lineup")) if "is_starting_lineup" in df.columns else F.lit(True)
+        flag_of(df, "is_starting_lineup") if "is_starting_lineup" in df.columns else F.lit(True)
     )
     return df.select(
         *_game_fields(df),
@@ -221,7 +221,7 @@ def parks(df: DataFrame, source: str | None = None) -> DataFrame:
 
     def roof_flag(name: str, texts: list[str]) -> Column:
         source_name = pick(df.columns, PARK_NAMES[name])
-        explicit = flag(F.col(source_name)) if source_name else null_of("boolean")
+        explicit = flag_of(df, source_name) if source_name else null_of("boolean")
         return F.coalesce(explicit, roof.isin(texts), F.lit(False))
 
     special = {
