@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 from slatework.functions.coerce import literal_map
 
 # Generation suffixes dropped from a name.
+FOREIGN = r"[^\x00-\x7F]"
 SUFFIX = r"(?U)\b(jr|sr|ii|iii|iv|v)\b\.?"
 
 
@@ -50,28 +51,28 @@ def fold_accents(value: Column) -> Column:
     expand = F.concat_ws(
         "", F.transform(F.split(folded, ""), lambda c: F.coalesce(F.try_element_at(lookup, c), c))
     )
+    # Cheap tests first: most text is ASCII, and most of the rest is after folding.
     has_multi = folded.rlike("[" + "".join(c for c, _ in multi) + "]")
-    plain = value.rlike(r"^[\x00-\x7F]*$")
-    return F.when(plain, value).when(has_multi, expand).otherwise(folded)
-
-
-def squeeze(value: Column) -> Column:
-    return F.trim(F.regexp_replace(value, r"\s+", " "))
+    return (
+        F.when(~value.rlike(FOREIGN), value)
+        .when(~folded.rlike(FOREIGN), folded)
+        .when(has_multi, expand)
+        .otherwise(folded)
+    )
 
 
 def name_key(value: Column) -> Column:
     """Lower case, no accents, no generation suffix, no punctuation; empty is null."""
     lowered = fold_accents(F.lower(F.trim(value)))
-    bare = F.regexp_replace(F.regexp_replace(lowered, SUFFIX, ""), r"[^a-z0-9\s]", " ")
-    key = squeeze(bare)
-    return F.when(key != "", key)
+    # Punctuation and white space alike become one space per run.
+    bare = F.trim(F.regexp_replace(F.regexp_replace(lowered, SUFFIX, ""), r"[^a-z0-9]+", " "))
+    return F.nullif(bare, F.lit(""))
 
 
 def name_key_keep_suffix(value: Column) -> Column:
     """As ``name_key`` but keeps suffixes and drops (not blanks) foreign letters."""
     ascii_only = F.regexp_replace(fold_accents(F.trim(value)), r"[^\x00-\x7F]", "")
-    key = squeeze(F.regexp_replace(F.lower(ascii_only), r"[^\w\s]", " "))
-    return F.when(key != "", key)
+    return F.nullif(F.trim(F.regexp_replace(F.lower(ascii_only), r"[^\w]+", " ")), F.lit(""))
 
 
 def last_name_of(key: Column) -> Column:
