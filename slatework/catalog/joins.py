@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from slatework.catalog.base import Tables, query, r
 from slatework.functions.coerce import date_of
-from slatework.functions.teams import LIVE, team_code
+from slatework.functions.teams import LIVE, STATIONS, team_code
 from slatework.functions.text import name_key, name_key_keep_suffix
 from slatework.operators import asof, joins, resolve
 from slatework.operators.quality import assert_unique
@@ -309,16 +309,18 @@ def _(t: Tables) -> DataFrame:
     )
 
 
+_STATION = "case home_team " + " ".join(f"when '{k}' then '{v}'" for k, v in {**STATIONS, "COL": "K5280"}.items()) + " end"
+
+
 @query(
     "j14_game_weather",
     f"""select g.game_pk, g.station_id, {r('o.t', 'temperature_f')}, concat(cast(cast(floor(o.d) as int) as varchar), '°') as wind_dir_text,
     case when g.home_team in ('AZ', 'HOU', 'MIA', 'MIL', 'SEA', 'TOR', 'TEX') then 'unknown_retractable' else 'open_air' end as roof_status
-    from (select game_pk, home_team, case home_team when 'ATL' then 'KATL' when 'BOS' then 'KBOS' when 'COL' then 'K5280' when 'NYY' then 'KLGA'
-      when 'NYM' then 'KLGA' else null end as station_id, home_team as h from dt_games) g
+    from (select game_pk, home_team, {_STATION} as station_id, home_team as h from dt_games) g
     left join (select station_id, max_by(t, ts) as t, max_by(d, ts) as d from (
       select case user_id % 4 when 0 then 'KATL' when 1 then 'KBOS' when 2 then 'K5280' else 'KLGA' end as station_id, ts, value as t,
       value * 10 as d from events) group by station_id) o on o.station_id = g.station_id
-    where g.home_team in ('ATL', 'BOS', 'COL', 'NYY', 'NYM')""",
+    """,
 )
 def _(t: Tables) -> DataFrame:
     kind = F.col("user_id") % 4
@@ -335,8 +337,7 @@ def _(t: Tables) -> DataFrame:
         *[F.lit(None).cast("string").alias(n) for n in texts],
     )
     games = spine.game_weather(t.dt_games, observed, {"COL": "k5280"})
-    known = F.col("home_team").isin("ATL", "BOS", "COL", "NYY", "NYM")
-    return games.filter(known).select("game_pk", "station_id", "temperature_f", "wind_dir_text", "roof_status")
+    return games.select("game_pk", "station_id", "temperature_f", "wind_dir_text", "roof_status")
 
 
 @query(

@@ -481,18 +481,18 @@ _CUTOFF = "date '2000-01-01'"
 @query(
     "b17_pregame_inputs",
     f"""with rolls as (select batter_id, game_date, game_pk, avg(pa) {over(7, 'batter_id', 'game_date, game_pk')} as v from ({BATTER_COUNT})),
-    a as (select batter_id, max_by(v is not null, (game_date, game_pk)) as has, max_by(coalesce(v, -1), (game_date, game_pk)) as v from rolls where game_date < {_CUTOFF} and batter_id % 3 <> 0 group by 1),
-    b as (select batter_id, max_by(coalesce(v, -1), (game_date, game_pk)) as v from rolls where game_date < {_CUTOFF} and batter_id % 5 <> 0 group by 1)
-    select l.game_pk, l.batting_order as lineup_slot, l.player_id as batter_id, {r('nullif(case when a.batter_id is not null then a.v else b.v end, -1)', 'bat_pa_roll7')},
+    a as (select batter_id, max_by(v, (game_date, game_pk)) as v from rolls where game_date < {_CUTOFF} and v > 1.0 group by 1),
+    b as (select batter_id, max_by(v, (game_date, game_pk)) as v from rolls where game_date < {_CUTOFF} and v is not null group by 1)
+    select l.game_pk, l.batting_order as lineup_slot, l.player_id as batter_id, {r('case when a.batter_id is not null then a.v else b.v end', 'bat_pa_roll7')},
     case when a.batter_id is not null then 'rolling' when b.batter_id is not null then 'mart_fallback' end as _source
     from dt_lineups l left join a on a.batter_id = l.player_id left join b on b.batter_id = l.player_id""",
 )
 def _(t: Tables) -> DataFrame:
-    """Some batters are only in the rolling table, some only in the mart, some in neither."""
+    """The rolling source knows batters with more than one appearance per game, the mart all with a past."""
     games = gametables.batter_game(contact_flags(t)).select("batter_id", "game_date", "game_pk", "pa")
     rolls = rolling(games, "batter_id", ["game_date", "game_pk"], means=["pa"], windows=(7,), name="bat_{col}_roll{w}")
     slots = t.dt_lineups.select("game_pk", F.col("batting_order").alias("lineup_slot"), F.col("player_id").alias("batter_id"))
-    first, second = rolls.filter("batter_id % 3 <> 0"), rolls.filter("batter_id % 5 <> 0")
+    first, second = rolls.filter("bat_pa_roll7 > 1.0"), rolls.filter("bat_pa_roll7 is not null")
     return inputs.batter_inputs(slots, first, second, F.lit("2000-01-01").cast("date"), ["game_pk"])
 
 
@@ -535,7 +535,7 @@ def _typed(kind: str, key: str) -> str:
 )
 def _(t: Tables) -> DataFrame:
     people = t.dt_people.select(F.col("person_id").alias("player_id"), F.col("name").alias("player_name"), "team")
-    return resolve.build_lookup([people, people.filter("player_id % 2 = 0")], "player_id")
+    return resolve.build_lookup([people, people], "player_id")
 
 
 _KEEP_KEYED = KEYED.replace(KEY_SQL, KEEP_SQL)
@@ -556,7 +556,7 @@ def _(t: Tables) -> DataFrame:
     history_table = t.dt_people.select(F.col("person_id").alias("pitcher_id"), "name", F.upper("team").alias("team"))
     named = t.dt_people.select(F.col("person_id").alias("pitcher_id"), F.col("name").alias("player_name"), "team")
     lookup = resolve.build_lookup([named], "pitcher_id")
-    return resolve.master_lookup(lookup, [history_table, history_table.filter("pitcher_id % 2 = 1")])
+    return resolve.master_lookup(lookup, [history_table, history_table])
 
 
 @query(
