@@ -314,7 +314,7 @@ _STATION = "case home_team " + " ".join(f"when '{k}' then '{v}'" for k, v in {**
 
 @query(
     "j14_game_weather",
-    f"""select g.game_pk, g.station_id, {r('o.t', 'temperature_f')}, concat(cast(cast(floor(o.d) as int) as varchar), '°') as wind_dir_text,
+    f"""select g.game_pk, g.station_id, {r('o.t', 'temperature_f')}, cast(cast(floor(o.d) as int) as varchar) || '°' as wind_dir_text,
     case when g.home_team in ('AZ', 'HOU', 'MIA', 'MIL', 'SEA', 'TOR', 'TEX') then 'unknown_retractable' else 'open_air' end as roof_status
     from (select game_pk, home_team, {_STATION} as station_id, home_team as h from dt_games) g
     left join (select station_id, max_by(t, ts) as t, max_by(d, ts) as d from (
