@@ -5,10 +5,20 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from slatework.llm import decontaminate, packing, secret_ledger, simhash
+from slatework.llm import decontaminate, language_id, packing, secret_ledger, simhash
+from slatework.llm.sampling import fold
 from slatework.session import stage
 
 
+def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Drops the documents without a language: no text, or no letter in it. ``lang`` stays as it is.
+
+    Nothing is learned from the third of the ids that the operator's query holds out.
+    """
+    found = language_id.identify(docs, learn=fold(F.col("doc_id"), 3) != 1, keep=docs.columns)
+    return found.where(F.col("lang_pred") != language_id.UNDETERMINED).select(docs.columns)
+
+
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps the document of the smallest id of each near-duplicate group.
 
@@ -40,6 +50,7 @@ def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 STAGES = [
+    ("language_id", language),
     ("simhash_near_duplicates", near_duplicates),
     ("decontamination", decontamination),
     ("secret_scan", secrets),
