@@ -194,27 +194,47 @@ def identify(
     spark = docs.sparkSession
     # Bounded: landmarks x their n-grams. A plain dictionary, as executors may lack this package.
     shared = spark.sparkContext.broadcast(model and vars(model))
-    if keep is None:
-        kept = docs.select(F.col(id_column).alias("doc_id"))
-    else:
-        kept = docs.select(*[F.col(f"`{c}`") for c in keep])
-    added = [T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType())]
-    schema = T.StructType([*kept.schema.fields, *added])
-    names = [f.name for f in schema]
+    schema = T.StructType(
+        [
+            T.StructField("doc_id", docs.schema[id_column].dataType),
+            T.StructField("lang_pred", T.StringType()),
+            T.StructField("score", T.DoubleType()),
+        ]
+    )
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def predicted(columns: Iterator[pa.Array]) -> Iterator[list[pa.Array]]:
         own = shared.value and Model(**shared.value)
         features = Features(own.grams) if own else None
-        for batch in batches:
+        for column in columns:
             if own:
-                found, scores = score_batch(own, features, batch.column(0))
+                found, scores = score_batch(own, features, column)
             else:
-                found, scores = [UNDETERMINED] * batch.num_rows, np.zeros(batch.num_rows)
-            columns = [*batch.columns[1:], pa.array(found, pa.string()), pa.array(scores, pa.float64())]
-            yield pa.RecordBatch.from_arrays(columns, names)
+                found, scores = [UNDETERMINED] * len(column), np.zeros(len(column))
+            yield [pa.array(found, pa.string()), pa.array(scores, pa.float64())]
+
+    if keep is not None:
+        # Only the text goes to Python and only the answer comes back.
+        def answer(columns: Iterator[pa.Array]) -> Iterator[pa.Array]:
+            for pair in predicted(columns):
+                yield pa.StructArray.from_arrays(pair, ["lang_pred", "score"])
+
+        call = F.arrow_udf(answer, "lang_pred string, score double", F.ArrowUDFType.SCALAR_ITER)
+        found = docs.withColumn("_found", call(F.col(text_column)))
+        return found.select(*[F.col(f"`{c}`") for c in keep], "_found.lang_pred", "_found.score")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[pa.Array] = []
+
+        def texts():
+            for batch in batches:
+                held.append(batch.column(0))
+                yield batch.column(1)
+
+        for pair in predicted(texts()):
+            yield pa.RecordBatch.from_arrays([held.pop(), *pair], ["doc_id", "lang_pred", "score"])
 
-    carried = [F.col(id_column).alias("doc_id")] if keep is None else [F.col(f"`{c}`") for c in keep]
-    return docs.select(F.col(text_column).alias("_text"), *carried).mapInArrow(run, schema)
+    chosen = docs.select(F.col(id_column).alias("doc_id"), F.col(text_column).alias("text"))
+    return chosen.mapInArrow(run, schema)
 
 
 def predictions(docs: DataFrame, folds: int = 3, held: int = 1) -> DataFrame:

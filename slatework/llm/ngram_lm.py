@@ -2,7 +2,7 @@
 
 The trie has two levels. Level one holds the sorted hashes of all training words
 and their counts. Level two holds, for every word as context, the words seen
-after it: the successors' 40-bit codes are sorted inside their context, so
+after it: the successors' 32-bit codes are sorted inside their context, so
 (context rank, code) is one rising sequence. Rising sequences are stored by
 Elias-Fano: low bytes as they are, high parts in unary. In level two the low
 bytes are the codes, and the unary part is the rising pointers from contexts to
@@ -17,12 +17,14 @@ shard are dealt over all shards, and its number of different successors is added
 up afterwards. Texts are read in chunks; a chunk asks every shard once about
 its distinct words and bigrams, counts included, and the answers return to the
 chunk. What is sent grows with the distinct words and bigrams of the input.
+Chunks are written once as word numbers; questions are derived from them when
+asked and again when answered, so they are sent but never stored.
 
 Probabilities: a known word has (c - d) / N, all unknown words together d V / N
 with d = n1 / V (n1: words seen once). A bigram has max(c - D, 0) / c(context)
 plus D kinds / c(context) times the probability of its word, D = 0.75.
 
-Words are told apart by 64-bit hashes, successors of one context by 40 bits.
+Words are told apart by 64-bit hashes, successors of one context by 32 bits.
 
 Defined results: null text is empty and is the end token alone; repeated rows
 are returned and learned from each; a null ``doc_id`` is kept, never learned
@@ -47,9 +49,9 @@ from slatework.llm.bytesio import hashed_words, mix
 from slatework.llm.sampling import fold
 from slatework.session import stage
 
-CHUNK_BYTES = 8 << 20
+CHUNK_BYTES = 4 << 20
 DISCOUNT = 0.75
-CODE_BITS = 40
+CODE_BITS = 32
 END = np.uint64(0xE2D0000000000001)
 START = np.uint64(0x57A2700000000001)
 #: A context with more than this share of a shard's average tokens is dealt over all shards.
@@ -264,7 +266,7 @@ def word_counts(docs: DataFrame, shards: int) -> DataFrame:
             words, counts = np.unique(value[learn[row]], return_counts=True)
             cuts = np.searchsorted(shard_of(words, shards), np.arange(shards + 1))
             rows = [
-                (s, pack(words[a:b], counts[a:b].astype(np.uint32)))
+                (s, pack(np.diff(words[a:b], prepend=np.uint64(0)), counts[a:b].astype(np.uint32)))
                 for s, (a, b) in enumerate(zip(cuts, cuts[1:]))
                 if b > a
             ]
@@ -277,9 +279,10 @@ def word_counts(docs: DataFrame, shards: int) -> DataFrame:
         for shard, rows in _groups(batches, "shard"):
             parts = [unpack(r["payload"]) for r in rows]
             words, counts = _sums(
-                np.concatenate([p[0] for p in parts]), np.concatenate([p[1] for p in parts]).astype(np.int64)
+                np.concatenate([np.cumsum(p[0]) for p in parts]),
+                np.concatenate([p[1] for p in parts]).astype(np.int64),
             )
-            values = [[shard], [pack(words, counts)], [int(counts.sum())], [len(words)], [int((counts == 1).sum())]]
+            values = [[shard], [pack(np.diff(words, prepend=np.uint64(0)), counts)], [int(counts.sum())], [len(words)], [int((counts == 1).sum())]]
             kinds = [pa.int64(), pa.binary(), pa.int64(), pa.int64(), pa.int64()]
             yield pa.RecordBatch.from_arrays([pa.array(v, t) for v, t in zip(values, kinds)], _LEVEL_ONE)
 
@@ -311,8 +314,8 @@ def hot_contexts(level_one: DataFrame, least: float) -> tuple[np.ndarray, np.nda
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for payload in batch.column(0).to_pylist():
-                words, counts = unpack(payload)
-                many = counts > least
+                steps, counts = unpack(payload)
+                words, many = np.cumsum(steps), counts > least
                 columns = [pa.array(words[many].view(np.int64)), pa.array(counts[many])]
                 yield pa.RecordBatch.from_arrays(columns, ["word", "n"])
 
@@ -336,8 +339,8 @@ def _batch(rows: list[tuple]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays(columns, ["kind", "chunk", "shard", "payload"])
 
 
-def requests(docs: DataFrame, shards: int, hot: np.ndarray) -> DataFrame:
-    """Per chunk one text row, and per chunk and shard one request row."""
+def chunk_texts(docs: DataFrame) -> DataFrame:
+    """Texts as word numbers: one row per chunk with its ids, lengths, rising word hashes and tokens."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
@@ -345,62 +348,93 @@ def requests(docs: DataFrame, shards: int, hot: np.ndarray) -> DataFrame:
         chunk = TaskContext.get().partitionId() << 32
         for ids, learn, row, value in _chunks(batches):
             words, local = np.unique(value, return_inverse=True)
-            before = np.empty_like(local)
-            before[0], before[1:] = len(words), np.where(row[1:] == row[:-1], local[:-1], len(words))
-            key, place = np.unique(before * (len(words) + 1) + local, return_inverse=True)
-            first, second = key // (len(words) + 1), key % (len(words) + 1)
-            seen = np.bincount(place[learn[row]], minlength=len(key)).astype(np.uint32)
-            # Contexts: a word of the shard by its place in the shard's slice, a hot one by its number.
-            shard_of_word = shard_of(words, shards)
-            cuts = np.searchsorted(shard_of_word, np.arange(shards + 1))
-            hash_of = np.r_[words, START]
-            at = np.minimum(np.searchsorted(hot, hash_of), max(len(hot) - 1, 0))
-            is_hot = (hot[at] == hash_of) if len(hot) else np.zeros(len(hash_of), bool)
-            own = np.r_[np.arange(len(words)) - cuts[shard_of_word], 0]
-            context = np.where(is_hot, -1 - at, own)[first]
-            code = _code(words)[second]
-            spread = shard_of(mix(hash_of[first] + np.uint64(3) * words[second]), shards)
-            to = np.where(is_hot[first], spread, np.r_[shard_of_word, 0][first])
-            order = np.argsort(to, kind="stable")
-            limits = np.searchsorted(to[order], np.arange(shards + 1))
-            # Places of bigrams in the order in which answers come back.
-            back = np.empty(len(order), np.uint32)
-            back[order] = np.arange(len(order))
-            known_ids = ids.cast(pa.int64())
-            text = pack(
-                known_ids.fill_null(0).to_numpy(zero_copy_only=False),
-                known_ids.is_null().to_numpy(zero_copy_only=False).astype(np.uint8),
+            ids = ids.cast(pa.int64())
+            payload = pack(
+                ids.fill_null(0).to_numpy(zero_copy_only=False),
+                ids.is_null().to_numpy(zero_copy_only=False).astype(np.uint8),
+                learn.astype(np.uint8),
                 np.bincount(row, minlength=len(ids)).astype(np.uint32),
-                back[place],
-                second[order].astype(np.uint32),
-                first[order].astype(np.uint32),
-                is_hot.astype(np.uint8),
-                at[is_hot].astype(np.uint32),
+                np.diff(words, prepend=np.uint64(0)),
+                local.astype(np.uint32),
             )
-            rows = [(_TEXT, chunk, -1, text)]
-            for s in range(shards):
-                some = order[limits[s] : limits[s + 1]]
-                mine = words[cuts[s] : cuts[s + 1]]
-                if not len(some) and not len(mine):
-                    continue
-                # Successor codes as five bytes each.
-                codes = code[some].astype("<u8").view(np.uint8).reshape(len(some), 8)[:, : CODE_BITS // 8]
-                change = np.flatnonzero(np.r_[True, context[some][1:] != context[some][:-1]]) if len(some) else some
-                runs = np.diff(np.r_[change, len(some)]).astype(np.uint32)
-                planes = [np.ascontiguousarray(codes[:, k]) for k in range(CODE_BITS // 8)]
-                rows.append((_REQUEST, chunk, s, pack(mine, context[some][change].astype(np.int32), runs, seen[some], *planes)))
-            yield _batch(rows)
+            yield _batch([(_TEXT, chunk, -1, payload)])
             chunk += 1
 
     return docs.mapInArrow(run, _ROW)
 
 
+class Chunk:
+    """A chunk's texts and the bigrams in the order in which shards answer.
+
+    Contexts and words are places in the rising ``words``; the place behind the
+    last word is the start of a text.
+    """
+
+    def __init__(self, payload: bytes, shards: int, hot: np.ndarray):
+        self.ids, self.nulls, learn, self.lengths, steps, local = unpack(payload)
+        self.words = np.cumsum(steps)
+        self.row = np.repeat(np.arange(len(self.ids)), self.lengths)
+        local, end = local.astype(np.int64), len(self.words)
+        before = np.empty_like(local)
+        before[0], before[1:] = end, np.where(self.row[1:] == self.row[:-1], local[:-1], end)
+        before *= end + 1
+        before += local
+        key, place = np.unique(before, return_inverse=True)
+        del before, local
+        seen = np.bincount(place[learn.astype(bool)[self.row]], minlength=len(key))
+        first, second = key // (end + 1), key % (end + 1)
+        del key
+        hashes = np.r_[self.words, START]
+        self.hot_at = np.minimum(np.searchsorted(hot, hashes), max(len(hot) - 1, 0))
+        self.is_hot = (hot[self.hot_at] == hashes) if len(hot) else np.zeros(len(hashes), bool)
+        # A context's shard is its word's; a hot context's bigrams go everywhere.
+        home = np.r_[shard_of(self.words, shards), 0]
+        to = home[first]
+        spread = np.flatnonzero(self.is_hot[first])
+        to[spread] = shard_of(mix(hashes[first[spread]] + np.uint64(3) * self.words[second[spread]]), shards)
+        order = np.argsort(to, kind="stable")
+        self.limits = np.searchsorted(to[order], np.arange(shards + 1))
+        self.cuts = np.searchsorted(home[:-1], np.arange(shards + 1))
+        back = np.empty(len(order), np.int64)
+        back[order] = np.arange(len(order))
+        self.place = back[place]
+        self.first, self.second, self.seen = first[order], second[order], seen[order]
+        # Sent contexts: a word of the shard by its place in the shard's slice, a hot one by -1 - number.
+        own = np.r_[np.arange(end) - self.cuts[home[:-1]], 0]
+        self.sent = np.where(self.is_hot, -1 - self.hot_at, own)
+
+    def request(self, shard: int) -> bytes | None:
+        words = self.words[self.cuts[shard] : self.cuts[shard + 1]]
+        some = slice(self.limits[shard], self.limits[shard + 1])
+        context = self.sent[self.first[some]]
+        if not len(words) and not len(context):
+            return None
+        change = np.flatnonzero(np.r_[True, context[1:] != context[:-1]]) if len(context) else np.zeros(0, np.int64)
+        return pack(
+            np.diff(words, prepend=np.uint64(0)),
+            context[change].astype(np.int32),
+            np.diff(np.r_[change, len(context)]).astype(np.uint32),
+            self.seen[some].astype(np.uint32),
+            _code(self.words[self.second[some]]).astype(np.uint32),
+        )
+
+
+def requests(texts: DataFrame, shards: int, hot: np.ndarray) -> DataFrame:
+    """Per chunk and shard one request row."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for number, payload in zip(batch.column(0).to_pylist(), batch.column(1)):
+                chunk = Chunk(payload.as_py(), shards, hot)
+                rows = [(_REQUEST, number, s, chunk.request(s)) for s in range(shards)]
+                yield _batch([r for r in rows if r[3] is not None])
+
+    return texts.select("chunk", "payload").mapInArrow(run, _ROW)
+
+
 def _read_request(payload: bytes):
-    words, contexts, runs, seen, *planes = unpack(payload)
-    code = np.zeros(len(seen), np.uint64)
-    for k in range(len(planes) - 1, -1, -1):
-        code = (code << np.uint64(8)) | planes[k]
-    return words, contexts, runs.astype(np.int64), seen, code
+    steps, contexts, runs, seen, code = unpack(payload)
+    return np.cumsum(steps), contexts, runs.astype(np.int64), seen, code.astype(np.uint64)
 
 
 def answers(level_one: DataFrame, asked: DataFrame, shards: int, hot_counts: np.ndarray) -> DataFrame:
@@ -409,7 +443,10 @@ def answers(level_one: DataFrame, asked: DataFrame, shards: int, hot_counts: np.
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for shard, rows in _groups(batches, "shard"):
             level = [r for r in rows if r["kind"] == -1]
-            words, counts = unpack(level[0]["payload"]) if level else (np.zeros(0, np.uint64), np.zeros(0, np.int64))
+            words, counts = np.zeros(0, np.uint64), np.zeros(0, np.int64)
+            if level:
+                steps, counts = unpack(level[0]["payload"])
+                words = np.cumsum(steps)
             mine = [r for r in rows if r["kind"] == _REQUEST]
             small = Trie(words, counts, np.zeros(0, np.uint64), np.zeros(0), hot_counts)
             keys, seen = np.zeros(0, np.uint64), np.zeros(0, np.int64)
@@ -438,7 +475,7 @@ def answers(level_one: DataFrame, asked: DataFrame, shards: int, hot_counts: np.
             yield _batch([(_KINDS, -1, shard, pack(trie.kinds[len(words) :].astype(np.int64)))])
 
     level = level_one.select(F.lit(-1).alias("kind"), F.lit(-1).cast("long").alias("chunk"), "shard", "payload")
-    both = level.unionByName(asked.where(F.col("kind") == _REQUEST))
+    both = level.unionByName(asked)
     dealt = both.repartition(shards, "shard").sortWithinPartitions("shard", "kind", "chunk")
     return dealt.mapInArrow(run, _ROW)
 
@@ -465,7 +502,7 @@ def score(
     ``learn`` is a condition on the rows that the model is made from.
     """
     spark = docs.sparkSession
-    shards = shards or max(8, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    shards = shards or max(8, 2 * int(spark.conf.get("spark.sql.shuffle.partitions")))
     rows = docs.select(
         F.col(id_column).cast("long").alias("doc_id"),
         F.coalesce(learn, F.lit(False)).alias("learn"),
@@ -479,8 +516,8 @@ def score(
     # The start of a text is a context that no shard of words owns.
     place = int(np.searchsorted(hot, START))
     hot, hot_counts = np.insert(hot, place, START), np.insert(hot_counts, place, texts)
-    asked = stage(requests(rows, shards, hot), "lm-requests")
-    answered = stage(answers(level_one, asked, shards, hot_counts), "lm-answers")
+    chunked = stage(chunk_texts(rows), "lm-texts")
+    answered = stage(answers(level_one, requests(chunked, shards, hot), shards, hot_counts), "lm-answers")
 
     def kinds(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -506,25 +543,21 @@ def score(
 
     def finish(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for _, rows in _groups(batches, "chunk"):
-            ids, nulls, lengths, place, second, first, is_hot, hot_at = unpack(rows[0]["payload"])
+            chunk = Chunk(rows[0]["payload"], shards, hot)
             parts = [unpack(r["payload"]) for r in rows[1:]]
             count, backoff, value = (np.concatenate(c) for c in zip(*parts))
             weight = np.r_[_LEVELS[backoff], 1.0]
-            weight[is_hot.astype(bool)] = hot_weight[hot_at]
-            bigram = np.log10(_LEVELS[value] + weight[first] * word_probability(count)[second])
-            row = np.repeat(np.arange(len(ids)), lengths)
-            word = second[place]
-
-            def per_row(x: np.ndarray) -> np.ndarray:
-                return np.bincount(row, x, len(ids))
-
+            weight[chunk.is_hot] = hot_weight[chunk.hot_at[chunk.is_hot]]
+            smooth = weight[chunk.first] * word_probability(count)[chunk.second]
+            bigram = np.log10(_LEVELS[value] + smooth)
+            word, size = chunk.second[chunk.place], len(chunk.ids)
             columns = [
-                pa.array(ids, mask=nulls.astype(bool)),
-                pa.array(lengths.astype(np.int64)),
-                pa.array(per_row((count > 0)[word]).astype(np.int64)),
-                pa.array(np.full(len(ids), tokens)),
-                pa.array(per_row(base_log(count)[word])),
-                pa.array(per_row(bigram[place])),
+                pa.array(chunk.ids, mask=chunk.nulls.astype(bool)),
+                pa.array(chunk.lengths.astype(np.int64)),
+                pa.array(np.bincount(chunk.row, (count > 0)[word], size).astype(np.int64)),
+                pa.array(np.full(size, tokens)),
+                pa.array(np.bincount(chunk.row, base_log(count)[word], size)),
+                pa.array(np.bincount(chunk.row, bigram[chunk.place], size)),
             ]
             yield pa.RecordBatch.from_arrays(columns, [f.name for f in schema])
 
@@ -538,7 +571,7 @@ def score(
             T.StructField("score", T.DoubleType()),
         ]
     )
-    both = asked.where(F.col("kind") == _TEXT).unionByName(answered.where(F.col("kind") == _ANSWER))
+    both = chunked.unionByName(answered.where(F.col("kind") == _ANSWER))
     return both.repartition(shards, "chunk").sortWithinPartitions("chunk", "kind", "shard").mapInArrow(finish, schema)
 
 
