@@ -263,7 +263,8 @@ def search(
     named = buckets.where(F.col("block") == seed).select(
         F.col("block").alias("bucket"), *[F.col(n).alias(f"b_{n}") for n in _NAMES]
     )
-    primed = queries.withColumn("bucket", F.lit(seed).cast("long")).join(named, "bucket", "left")
+    # Exploded, so that the number stays a join key.
+    primed = queries.withColumn("bucket", F.explode(F.array(F.lit(seed).cast("long")))).join(named, "bucket", "left")
     routed = stage(primed.mapInArrow(prime, routed_schema), "routed-queries")
     found = _paired(routed, buckets).mapInArrow(
         answer, "query_uid bigint, query_id bigint, uid bigint, vec_id bigint, score bigint"

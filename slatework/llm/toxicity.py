@@ -173,15 +173,14 @@ def count_table(rows: DataFrame) -> DataFrame:
 
 def _whole_rows(column: pa.Array):
     """``expressions`` with all blocks of a document together, a few documents at a time."""
-    sizes = np.r_[0, np.cumsum(text_bytes(column)[1][1:] - text_bytes(column)[1][:-1])]
+    sizes = text_bytes(column)[1]
     at = 0
     while at < len(column):
         end = max(at + 1, int(np.searchsorted(sizes, sizes[at] + (2 << 20), "right")) - 1)
-        parts = list(expressions(column.slice(at, end - at)))
-        at = end
+        parts, start, at = list(expressions(column.slice(at, end - at))), at, end
         if parts:
             rows, levels, before, pairs = zip(*parts)
-            yield np.concatenate(rows), [np.concatenate(x) for x in zip(*levels)], np.concatenate(before), np.concatenate(pairs)
+            yield start + np.concatenate(rows), [np.concatenate(x) for x in zip(*levels)], np.concatenate(before), np.concatenate(pairs)
 
 
 def _excess(k: int, totals: tuple[float, float]) -> Column:
