@@ -218,7 +218,7 @@ def identify(
             for pair in predicted(columns):
                 yield pa.StructArray.from_arrays(pair, ["lang_pred", "score"])
 
-        call = F.arrow_udf(answer, "lang_pred string, score double", F.ArrowUDFType.SCALAR_ITER)
+        call = F.arrow_udf(answer, "lang_pred string, score double")
         found = docs.withColumn("_found", call(F.col(text_column)))
         return found.select(*[F.col(f"`{c}`") for c in keep], "_found.lang_pred", "_found.score")
 

@@ -82,5 +82,83 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in every}
 
 
+_LOWERED = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+_WORDS = rf"regexp_extract_all({_LOWERED}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
+
+_OP3_SQL = f"""
+with items as (select item_id, {_WORDS} as w from benchmark where item_id is not null),
+windows as (
+ select distinct item_id, n, array_to_string(list_slice(w, s, s + n - 1), ' ') as body
+ from (select item_id, w, least(len(w), 13) as n, unnest(range(1, greatest(len(w) - 12, 1) + 1)) as s
+       from items where len(w) > 0)),
+docs as (select row_number() over () as uid, doc_id, {_WORDS} as w from documents),
+spots as (
+ select uid, w, n, unnest(range(1, len(w) - n + 2)) as s
+ from docs, (select distinct n from windows) where len(w) >= n),
+hits as (
+ select uid, s, p.n, item_id
+ from (select uid, s, n, array_to_string(list_slice(w, s, s + n - 1), ' ') as body from spots) p
+ join windows on p.n = windows.n and p.body = windows.body),
+covered as (
+ select uid, count(distinct pos) as n_hit
+ from (select uid, unnest(range(s, s + n)) as pos from (select distinct uid, s, n from hits)) group by uid),
+found as (
+ select uid, count(*) as n_items, string_agg(item, ',' order by item) as items
+ from (select distinct uid, cast(item_id as varchar) as item from hits) group by uid)
+select doc_id, len(w) as n_words, coalesce(n_hit, 0) as n_hit, coalesce(n_items, 0) as n_items,
+ sha256(coalesce(items, '')) as items_sha256,
+ coalesce(n_hit, 0) > 0 and 20 * coalesce(n_hit, 0) >= len(w) as contaminated
+from docs left join covered using (uid) left join found using (uid)
+"""
+
+_OP5_SQL = """
+with usable as (
+ select row_number() over () as uid, vec_id,
+  list_transform(embedding, lambda x: floor(256 * cast(x as double))) as v
+ from embeddings
+ where vec_id is not null and embedding is not null
+  and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0),
+scored as (
+ select q.uid, q.vec_id as query_id, c.vec_id, cast(list_dot_product(q.v, c.v) as bigint) as score
+ from usable q join usable c on q.uid <> c.uid where q.vec_id % 50 = 0),
+ranked as (
+ select *, row_number() over (partition by uid order by score desc, vec_id) as rank from scored)
+select query_id, cast(rank as int) as rank, vec_id, score from ranked where rank <= 5
+"""
+
+
+def _op7_sql() -> str:
+    parts = []
+    for k, rule in enumerate(secret_ledger.RULES):
+        pattern = rule.pattern.replace("'", "''")
+        parts.append(
+            f"""select uid, {k} as rule, unnest(range(1, len(gap) + 1)) as i, unnest(gap) as gap,
+ unnest(list_concat(hit, [null])) as hit, unnest(list_concat(val, [null])) as val
+from (select uid, string_split_regex(text, '{pattern}') as gap, regexp_extract_all(text, '{pattern}') as hit,
+ regexp_extract_all(text, '{pattern}', {rule.group}) as val from docs where regexp_matches(text, '{pattern}'))"""
+        )
+    least = " ".join(f"when {k} then {rule.least}" for k, rule in enumerate(secret_ledger.RULES))
+    names = " ".join(f"when {k} then '{rule.name}'" for k, rule in enumerate(secret_ledger.RULES))
+    counts = ", ".join(f"count(*) filter (rule = {k}) as n_{r.name}" for k, r in enumerate(secret_ledger.RULES))
+    every = ", ".join(f"coalesce(n_{r.name}, 0) as n_{r.name}" for r in secret_ledger.RULES)
+    return f"""
+with docs as (select row_number() over () as uid, doc_id, coalesce(text, '') as text from documents),
+pieces as ({" union all ".join(parts)}),
+placed as (
+ select uid, rule, hit, val,
+  sum(length(gap) + coalesce(length(hit), 0)) over (partition by uid, rule order by i) as stop from pieces),
+found as (
+ select uid, rule, cast(stop - length(hit) as bigint) as start, cast(stop as bigint) as stop
+ from placed where hit is not null and length(val) >= case rule {least} end),
+spans as (
+ select uid, {counts},
+  string_agg(concat(case rule {names} end, ':', start, ':', stop), ',' order by start, rule) as spans
+ from found group by uid)
+select doc_id, {every}, sha256(coalesce(spans, '')) as base_sha256, coalesce(spans, '') as spans
+from docs left join spans using (uid)
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {}
+    """Exact joins, products and patterns; the other queries hash, tokenise or learn and are tested in tests/llm."""
+    return {"op3_decontamination": _OP3_SQL, "op5_topk_search": _OP5_SQL, "op7_secret_scan": _op7_sql()}
