@@ -157,19 +157,20 @@ def score_batch(model: Model, features: Features, column: pa.Array) -> tuple[lis
     starts = offsets[row] + within * lengths[row] // parts[row]
     ends = offsets[row] + (within + 1) * lengths[row] // parts[row]
     totals = np.zeros((count, len(model.languages)))
+    letters = np.zeros(count, bool)
     for at in range(0, len(row), _AT_ONCE):
         s, e, r = starts[at : at + _AT_ONCE], ends[at : at + _AT_ONCE], row[at : at + _AT_ONCE]
-        presence = features.presence(LOWER[data[s[0] : e[-1]]], s - s[0], e - s[0])
+        part = data[s[0] : e[-1]]
+        np.logical_or.at(letters, r, np.logical_or.reduceat(_LETTER[part], s - s[0]))
+        presence = features.presence(LOWER[part], s - s[0], e - s[0])
         values = (presence @ model.landmarks) @ model.weights
         np.add.at(totals, r, values * (e - s)[:, None])
     means = totals / np.maximum(lengths, 1)[:, None]
     best = means.argmax(axis=1)
     scores = np.clip((means[np.arange(count), best] + 1) / 2, 0, 1)
-    letters = np.r_[0, np.cumsum(_LETTER[data])]
-    ascii_letters = letters[offsets[1:]] - letters[offsets[:-1]]
     names = []
     for k in range(count):
-        has = ascii_letters[k] > 0 or (lengths[k] > 0 and any(c.isalpha() for c in column[k].as_py()))
+        has = letters[k] or (lengths[k] > 0 and any(c.isalpha() for c in column[k].as_py()))
         names.append(model.languages[best[k]] if has else UNDETERMINED)
         if not has:
             scores[k] = 0.0
