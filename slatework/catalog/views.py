@@ -148,7 +148,7 @@ define(
         "pitcher_id", _FORM_PIT,
     ),
 )
-_LAST = "select * from {0} qualify row_number() over (partition by {1} order by game_date desc, game_pk desc) = 1"
+_LAST = "select * from {0} qualify row_number() over (partition by {1}, game_date order by game_pk desc) = 1"
 
 
 def _game_form(t: Tables) -> tuple[DataFrame, DataFrame]:
@@ -166,10 +166,11 @@ def _side_cols(side: str, alias: str, names: list[str], label: str, windows=(7,
 
 def _game_view_sql(label: str, where: str, count: str) -> str:
     means = ", ".join(f"avg({c}_roll{w}) as {c}_roll{w}" for w in (7, 15) for c in _FORM_BAT)
-    form = f"(select l.game_pk, l.team, {means}, count(l.player_id) as {count} from dt_lineups l left join last_bat b on l.player_id = b.batter_id {where} group by all)"
+    form = f"(select l.game_pk, l.team, {means}, count(l.player_id) as {count} from dt_lineups l asof left join last_bat b on l.player_id = b.batter_id and b.game_date <= l.game_date {where} group by all)"
     return f"""select s.*, {_side_cols('home', 'hp', _FORM_PIT, 'sp')}, {_side_cols('away', 'ap', _FORM_PIT, 'sp')},
     {_side_cols('home', 'hf', _FORM_BAT, label)}, {_side_cols('away', 'af', _FORM_BAT, label)}, hf.{count} as home_{label}_{count}, af.{count} as away_{label}_{count}
-    from dt_spine s left join last_pit hp on hp.pitcher_id = s.home_starter_pitcher_id left join last_pit ap on ap.pitcher_id = s.away_starter_pitcher_id
+    from dt_spine s asof left join last_pit hp on hp.pitcher_id = s.home_starter_pitcher_id and hp.game_date <= s.game_date
+    asof left join last_pit ap on ap.pitcher_id = s.away_starter_pitcher_id and ap.game_date <= s.game_date
     left join {form} hf on hf.game_pk = s.game_pk and hf.team = s.home_team left join {form} af on af.game_pk = s.game_pk and af.team = s.away_team"""
 
 
@@ -221,15 +222,13 @@ def _clip(value: str, low, high) -> str:
     return f"greatest(least({value}, {high}), {low})"
 
 
-_LATEST = """select * from {0} where game_date < (select max(game_date) from dt_spine)
- qualify row_number() over (partition by {1} order by game_date desc, game_pk desc) = 1"""
 define(
     "dt_profiles",
     f"""select l.*, {_FACTORS}, {_PROFILE_SQL}, {_ARM_SQL}, {_clip('(temperature_f - 70.0) / 15.0', -2.0, 2.0)} as tb,
  wind_mph * weather_wind_out as wo, wind_mph * weather_wind_in as wi, wind_mph * weather_crosswind as cw
  from dt_slot_games l left join dt_park_factors f on l.park_team = f.park_team
- left join ({_LATEST.format('dt_bat_rolls', 'batter_id')}) b on l.player_id = b.batter_id
- left join ({_LATEST.format('dt_pit_rolls', 'pitcher_id')}) p on l.opp_pitcher_id = p.pitcher_id""",
+ asof left join ({_LAST.format('dt_bat_rolls', 'batter_id')}) b on l.player_id = b.batter_id and b.game_date < l.game_date
+ asof left join ({_LAST.format('dt_pit_rolls', 'pitcher_id')}) p on l.opp_pitcher_id = p.pitcher_id and p.game_date < l.game_date""",
 )
 _NEUTRAL = f"""6.2 * barrel_rate + 2.4 * iso + 9.0 * hr_per_pa + 1.4 * hard_hit_rate + 1.1 * flyball + 0.9 * pulled_air
  + 0.06 * {_clip('ev - 88', -5, 10)} + 0.03 * {_clip('la - 12', -10, 18)}

@@ -50,13 +50,13 @@ def _(t: Tables) -> DataFrame:
     + " from (select event_id, value, cast(ts as date) as day, case when event_type in ('view', 'click') then event_type end as kind from events)",
 )
 def _(t: Tables) -> DataFrame:
-    """The way taken when an entity is too large for one task: it is cut into segments."""
+    """Entities of thousands of rows, cut into segments of about 200."""
     df = t.events.select(
         "event_id", "value", date_of(F.col("ts")).alias("day"),
         F.when(F.col("event_type").isin("view", "click"), F.col("event_type")).alias("kind"),
     )
     return rolling(
-        df, "kind", ["day", "event_id"], means=["value"], lag=2, hot=True, fine=F.floor(F.col("event_id") / 16), max_rows=200
+        df, "kind", ["day", "event_id"], means=["value"], lag=2, segment_rows=200
     ).drop("day", "value")
 
 
@@ -171,9 +171,9 @@ def _(t: Tables) -> DataFrame:
     "select event_id, row_number() over (partition by event_type order by cast(ts as date), event_id) as n from events",
 )
 def _(t: Tables) -> DataFrame:
-    """The way taken when a group is too large for one task."""
+    """Groups of thousands of rows, cut into segments of about 100."""
     df = t.events.withColumn("day", date_of(F.col("ts")))
-    return dedupe.ordinal(df, ["event_type"], ["day", "event_id"], "n", hot=True, max_rows=100).select("event_id", "n")
+    return dedupe.ordinal(df, ["event_type"], ["day", "event_id"], "n", segment_rows=100).select("event_id", "n")
 
 
 @query(

@@ -82,7 +82,8 @@ def expected_pa(slot: Column) -> Column:
 def multiply_where(value: Column, steps: list[tuple[Column, float]]) -> Column:
     """Apply every factor whose condition holds, one after the other."""
     for condition, factor in steps:
-        value = F.when(condition, value * factor).otherwise(value)
+        # A product keeps the expression flat: each step names the value once.
+        value = value * F.when(condition, F.lit(float(factor))).otherwise(1.0)
     return value
 
 

@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from slatework.operators.dedupe import last_per_key
-from slatework.operators.segments import MAX_ROWS, attach, has_hot_group, with_segments
+from slatework.operators.segments import SEGMENT_ROWS, attach, with_segments
 
 
 def asof_join(
@@ -20,8 +21,7 @@ def asof_join(
     tie: list[str] = (),
     strict: bool = True,
     rename: dict[str, str] | None = None,
-    hot: bool | None = None,
-    max_rows: int = MAX_ROWS,
+    segment_rows: int = SEGMENT_ROWS,
 ) -> DataFrame:
     """Each left row with ``values`` of the last right row before it.
 
@@ -29,44 +29,44 @@ def asof_join(
     entity or a date are dropped; entities the right side does not know keep
     null values. Of several right rows on one date the last by ``tie`` counts.
 
-    Both sides are stacked and one window carries the last right row forward:
-    one shuffle, no range join.
+    The distinct (entity, date) pairs of the left side and the right rows, one
+    per date, are stacked, and one window carries the last right row forward: no
+    range join, and a window sees two rows per date at most. Left rows get their
+    pair's answer by an equi-join, which the adaptive planner can split.
     """
     right_by, right_on, rename = right_by or by, right_on or on, rename or {}
     known = right.filter(F.col(right_by).isNotNull() & F.col(right_on).isNotNull())
     reduced = last_per_key(known, [right_by, right_on], list(tie)) if tie else known
     out = [rename.get(v, v) for v in values]
     kept = [c for c in left.columns if c not in out]
-    rows = left.filter(F.col(by).isNotNull() & F.col(on).isNotNull()).select(
-        F.col(by).alias("_id"),
-        F.col(on).alias("_at"),
-        F.struct(*kept).alias("_left"),
-        F.lit(None).cast(reduced.select(F.struct(*values)).schema[0].dataType).alias("_right"),
+    rows = left.filter(F.col(by).isNotNull() & F.col(on).isNotNull()).select(*kept)
+    asked = rows.select(F.col(by).alias("_id"), F.col(on).alias("_at")).distinct().select(
+        "*", F.lit(None).cast(reduced.select(F.struct(*values)).schema[0].dataType).alias("_right")
     )
     facts = reduced.select(
         F.col(right_by).cast(left.schema[by].dataType).alias("_id"),
         F.col(right_on).cast(left.schema[on].dataType).alias("_at"),
-        F.lit(None).cast(rows.schema["_left"].dataType).alias("_left"),
         F.struct(*values).alias("_right"),
     )
-    # Strict: at one date left rows come first, so they do not see its right row.
+    # Strict: at one date the question comes first, so it does not see the date's right row.
     side = F.col("_right").isNotNull().cast("int")
-    both = rows.unionByName(facts).withColumn("_side", side if strict else 1 - side)
-    if hot is None:
-        hot = has_hot_group(both, ["_id"], max_rows)
-    if hot:
-        found = _carried(both, max_rows)
-    else:
+    both = asked.unionByName(facts).withColumn("_side", side if strict else 1 - side)
+    if isinstance(left.schema[on].dataType, T.DateType):
+        # Two rows per calendar day at most: an entity fits one task.
         order = Window.partitionBy("_id").orderBy("_at", "_side")
-        found = both.withColumn("_found", F.last("_right", ignorenulls=True).over(order))
-    return found.filter("_left is not null").select(
-        "_left.*", *[F.col("_found").getField(v).alias(o) for v, o in zip(values, out)]
+        carried = both.withColumn("_found", F.last("_right", ignorenulls=True).over(order))
+    else:
+        carried = _carried(both, segment_rows)
+    found = carried.filter("_right is null").select("_id", "_at", "_found")
+    joined = rows.join(found, (F.col(by) == F.col("_id")) & (F.col(on) == F.col("_at")), "left")
+    return joined.select(
+        *[F.col(f"`{c}`") for c in kept], *[F.col("_found").getField(v).alias(o) for v, o in zip(values, out)]
     )
 
 
-def _carried(both: DataFrame, max_rows: int) -> DataFrame:
-    """Last right row per left row when an entity is cut into segments."""
-    cut = with_segments(both, ["_id"], [F.col("_at"), F.col("_side")], max_rows)
+def _carried(both: DataFrame, segment_rows: int) -> DataFrame:
+    """Rows plus ``_found``, the last right row so far; long entities are cut into segments."""
+    cut = with_segments(both, ["_id"], ["_at", "_side"], segment_rows)
     inside = Window.partitionBy("_id", "_seg").orderBy("_at", "_side")
     last_of = (
         cut.filter("_right is not null")
@@ -98,6 +98,33 @@ def latest_rows(
     return last_per_key(dated, [by], [on, *tie])
 
 
+def latest_by_row(
+    left: DataFrame,
+    right: DataFrame,
+    left_by: str,
+    by: str,
+    on: str,
+    values: list[str],
+    tie: list[str] = (),
+    strict: bool = False,
+    prefix: str = "",
+) -> DataFrame:
+    """All left rows with the latest right row up to (``strict``: before) their own date.
+
+    Rows without an entity or a date, and entities that the right side does not
+    know, get nulls.
+    """
+    asked = left.select(F.col(left_by).alias("_latest_id"), F.col(on).alias("_latest_on")).distinct()
+    named = {v: f"_latest_{v}" for v in values}
+    found = asof_join(
+        asked, right, "_latest_id", "_latest_on", values, right_by=by, right_on=on, tie=tie, strict=strict, rename=named
+    )
+    both = (F.col(left_by) == F.col("_latest_id")) & (F.col(on) == F.col("_latest_on"))
+    return left.join(found, both, "left").drop("_latest_id", "_latest_on").withColumnsRenamed(
+        {named[v]: prefix + v for v in values}
+    )
+
+
 def latest_join(
     left: DataFrame,
     right: DataFrame,

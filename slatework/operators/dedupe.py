@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from slatework.operators.segments import MAX_ROWS, has_hot_group, with_segments
+from slatework.operators.segments import SEGMENT_ROWS, with_segments
 
 
 def _numbered(df: DataFrame, by: list[str], order: list[Column], n: int) -> DataFrame:
@@ -37,16 +37,10 @@ def ordinal(
     by: list[str],
     order: list[str],
     name: str,
-    hot: bool | None = None,
-    max_rows: int = MAX_ROWS,
+    segment_rows: int = SEGMENT_ROWS,
 ) -> DataFrame:
     """1-based position within the group; ``order`` must be total."""
-    if hot is None:
-        hot = has_hot_group(df, by, max_rows)
-    if not hot:
-        spec = Window.partitionBy(*by).orderBy(*order)
-        return df.withColumn(name, F.row_number().over(spec).cast("bigint"))
-    cut = with_segments(df, by, [F.col(c) for c in order], max_rows)
+    cut = with_segments(df, by, order, segment_rows)
     spec = Window.partitionBy(*by, "_seg").orderBy(*[F.asc_nulls_first(c) for c in order])
     position = F.row_number().over(spec) + F.col("_offset")
     return cut.withColumn(name, position.cast("bigint")).drop("_seg", "_next", "_offset")

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from slatework.functions.coerce import ratio
-from slatework.operators.segments import MAX_ROWS, has_hot_group, with_segments
+from slatework.operators.segments import SEGMENT_ROWS, with_segments
 
 # Window lengths in games.
 WINDOWS = (3, 7, 15, 30)
@@ -24,38 +24,22 @@ def over_previous(
     build,
     windows=WINDOWS,
     lag: int = 1,
-    hot: bool | None = None,
-    fine: Column | None = None,
-    max_rows: int = MAX_ROWS,
+    segment_rows: int = SEGMENT_ROWS,
 ) -> DataFrame:
     """Add the columns ``build(frame_of)`` where ``frame_of(w)`` is a window frame.
 
     All columns share one partitioning and ordering, so the plan has one
-    shuffle and one sort. ``hot`` says whether some entity is too large for one
-    task (None: find out). Hot entities are cut by the first order column and,
-    where one date alone may be too large, by ``fine``: an expression that does
-    not decrease along the rest of the order.
+    shuffle and one sort. Entities of more than ``segment_rows`` rows are cut
+    along the order; each segment gets copies of the rows before it.
     """
-    if hot is None:
-        hot = has_hot_group(df, [by], max_rows)
-    if not hot:
-        spec = Window.partitionBy(by).orderBy(*order)
-        return df.withColumns(build(lambda w: frame(spec, w, lag)))
-
     halo = max(windows) + lag - 1
-    buckets = [F.col(order[0])] + ([fine] if fine is not None else [])
-    cut = with_segments(df, [by], buckets, max(max_rows, halo), halo)
-    from_end = Window.partitionBy(by, "_seg").orderBy(*[F.col(c).desc() for c in order])
-    numbered = cut.withColumn("_back", F.row_number().over(from_end))
-    tail = (F.col("_back") <= halo) & F.col("_next").isNotNull()
+    cut = with_segments(df, [by], order, max(segment_rows, halo), halo)
     # A copy of each tail row also takes part in the following segment.
-    parts = F.when(tail, F.array("_seg", "_next")).otherwise(F.array("_seg"))
-    copied = numbered.select("*", F.posexplode(parts).alias("_copy", "_part"))
+    parts = F.when(F.col("_next").isNotNull(), F.array("_seg", "_next")).otherwise(F.array("_seg"))
+    copied = cut.select("*", F.posexplode(parts).alias("_copy", "_part"))
     spec = Window.partitionBy(by, "_part").orderBy(*order)
     rolled = copied.withColumns(build(lambda w: frame(spec, w, lag)))
-    return rolled.filter(F.col("_copy") == 0).drop(
-        "_seg", "_next", "_offset", "_back", "_copy", "_part"
-    )
+    return rolled.filter(F.col("_copy") == 0).drop("_seg", "_next", "_offset", "_copy", "_part")
 
 
 def rolling(
@@ -68,7 +52,7 @@ def rolling(
     lag: int = 1,
     name: str = "{col}_roll{w}",
     null_entity: bool = True,
-    **skew,
+    segment_rows: int = SEGMENT_ROWS,
 ) -> DataFrame:
     """Rolling sums and means named by ``name``.
 
@@ -88,7 +72,7 @@ def rolling(
                 out[name.format(col=c, w=w)] = keep(F.avg(c).over(frame_of(w)))
         return out
 
-    return over_previous(df, by, order, build, windows=windows, lag=lag, **skew)
+    return over_previous(df, by, order, build, windows=windows, lag=lag, segment_rows=segment_rows)
 
 
 def rolling_ratios(

@@ -1,27 +1,28 @@
 """Splitting hot window partitions.
 
-A window over one entity puts all its rows into one task. Where one entity may
-hold a large share of the table, its ordered rows are cut into segments of about
-``max_rows`` rows, and windows run per (entity, segment). What a window needs
+A window over one entity puts all its rows into one task. So the ordered rows of
+every entity are cut into segments of about ``rows`` rows, and windows run per
+(entity, segment); an entity below that size is one segment. What a window needs
 from earlier segments is brought along: copies of the last few rows
 (``rolling``), the last known value (``asof``) or a row count (``ordinal``).
 
-Whether cutting is needed is decided by ``has_hot_group``: one aggregate over
-the key column only, combined before its shuffle.
+There is one plan for every size. Entities are counted (combined before the
+shuffle); for the large ones quantile sketches of the first order column bound
+the cuts, and where one of its values alone is too large, sketches of the second
+column. Only sketched buckets, a bounded number per entity, are planned by a
+window. The tables joined back have at most one row per ``rows`` input rows, so
+they are broadcast; while they are empty the adaptive planner drops their joins.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-MAX_ROWS = 4_000_000
-
-
-def has_hot_group(df: DataFrame, by: list[str], max_rows: int = MAX_ROWS) -> bool:
-    """True if any group of ``by`` has more than ``max_rows`` rows."""
-    largest = df.groupBy(*by).count().agg(F.max("count")).first()[0]
-    return (largest or 0) > max_rows
+SEGMENT_ROWS = 1_000_000
+_QUANTILES = 200
+_CODES = 1024  # above twice _QUANTILES
 
 
 def same(left: DataFrame, right: DataFrame, keys: list[str]) -> Column:
@@ -32,74 +33,113 @@ def same(left: DataFrame, right: DataFrame, keys: list[str]) -> Column:
     return out
 
 
-def attach(df: DataFrame, stats: DataFrame, by: list[str]) -> DataFrame:
+def attach(df: DataFrame, stats: DataFrame, by: list[str], bounded: bool = False) -> DataFrame:
     """Left join of one row per group onto the rows, null keys matching null keys.
 
-    No broadcast hint: the adaptive planner broadcasts ``stats`` when it is
-    small and splits hot groups of the row side when it is not.
+    No broadcast hint unless ``stats`` is ``bounded``: the adaptive planner
+    broadcasts it when it is small and splits hot groups of the row side when it
+    is not.
     """
     renamed = stats.withColumnsRenamed({k: f"_key_{k}" for k in by})
     cond = F.lit(True)
     for key in by:
         cond = cond & F.col(key).eqNullSafe(F.col(f"_key_{key}"))
-    return df.join(renamed, cond, "left").drop(*[f"_key_{k}" for k in by])
+    right = F.broadcast(renamed) if bounded else renamed
+    return df.join(right, cond, "left").drop(*[f"_key_{k}" for k in by])
+
+
+def _scalar(df: DataFrame, name: str) -> tuple[Column, bool]:
+    """A number that does not decrease along the column, and whether it keeps all values apart."""
+    kind = df.schema[name].dataType
+    if isinstance(kind, T.StringType):
+        head = F.rpad(F.hex(F.substring(F.encode(F.col(name), "UTF-8"), 1, 7)), 14, "0")
+        return F.conv(head, 16, 10).cast("bigint"), False
+    if isinstance(kind, T.BooleanType):
+        return F.col(name).cast("int"), True
+    return F.col(name), True
+
+
+def _bounds(keyed: DataFrame, by: list[str], value: str, rows: int, name: str) -> DataFrame:
+    """Sketched quantiles of ``value`` for the groups with more than ``rows`` rows."""
+    large = keyed.groupBy(*by).agg(F.count(F.lit(1)).alias("_rows")).filter(F.col("_rows") > rows)
+    of_large = attach(keyed, large, by, bounded=True).filter(F.col("_rows").isNotNull())
+    steps = [k / _QUANTILES for k in range(1, _QUANTILES)]
+    return of_large.groupBy(*by).agg(F.percentile_approx(value, steps, 4 * _QUANTILES).alias(name))
+
+
+def _bucket(bounds: Column, value: Column) -> Column:
+    """Bucket of a value: even between two bounds, odd on a bound; 0 without bounds or value."""
+    below = F.size(F.filter(bounds, lambda b: b < value))
+    upto = F.size(F.filter(bounds, lambda b: b <= value))
+    return F.when(bounds.isNotNull() & value.isNotNull(), below + upto).otherwise(0)
+
+
+def _coded(df: DataFrame, by: list[str], order: list[str], rows: int) -> DataFrame:
+    """Rows plus ``_code``, which does not decrease along ``order``; null for entities that stay whole."""
+    first, exact = _scalar(df, order[0])
+    named = df.withColumn("_v0", first)
+    out = attach(named, _bounds(named.select(*by, "_v0"), by, "_v0", rows, "_b0"), by, bounded=True)
+    out = out.withColumn("_q0", F.when(F.col("_b0").isNotNull(), _bucket(F.col("_b0"), F.col("_v0"))))
+    low = F.lit(0)
+    if len(order) > 1 and exact:
+        # A bucket on a bound holds one value, or the nulls; there the second column decides.
+        out = out.withColumn("_v1", _scalar(df, order[1])[0])
+        single = out.filter((F.col("_q0") > 0) & _on_bound() | (F.col("_q0") == 0) & F.col("_v0").isNull())
+        pair = [*by, "_q0"]
+        finer = _bounds(single.select(*pair, "_v1"), pair, "_v1", rows, "_b1")
+        out = attach(out, finer, pair, bounded=True)
+        low = _bucket(F.col("_b1"), F.col("_v1"))
+        # Nulls come before all values of the lowest bucket.
+        low = F.when((F.col("_q0") == 0) & F.col("_v0").isNotNull(), F.lit(_CODES - 1)).otherwise(low)
+        low = F.when((F.col("_q0") > 0) & ~_on_bound(), F.lit(0)).otherwise(low)
+    code = F.when(F.col("_q0").isNotNull(), F.col("_q0") * _CODES + low)
+    return out.withColumn("_code", code).drop("_v0", "_v1", "_b0", "_b1", "_q0")
+
+
+def _on_bound() -> Column:
+    return F.array_contains("_b0", F.col("_v0"))
+
+
+def _plan(coded: DataFrame, by: list[str], rows: int, halo: int) -> DataFrame:
+    """Per large entity the first code of each segment, the code its tail begins with, and the rows before it."""
+    counts = coded.filter(F.col("_code").isNotNull()).groupBy(*by, "_code").agg(F.count(F.lit(1)).alias("_n"))
+    entity = Window.partitionBy(*by)
+    before = entity.orderBy("_code").rowsBetween(Window.unboundedPreceding, -1)
+    cut = counts.withColumn("_before", F.coalesce(F.sum("_n").over(before), F.lit(0)))
+    cut = cut.withColumn("_seg", F.floor(F.col("_before") / rows))
+    # Segments shorter than the halo join the one before, so only the next one needs rows of the current.
+    size = F.sum("_n").over(Window.partitionBy(*by, "_seg"))
+    start = F.when((size >= halo) | (F.col("_seg") == 0), F.col("_seg"))
+    upto = entity.orderBy("_code").rowsBetween(Window.unboundedPreceding, 0)
+    cut = cut.withColumn("_start", start).withColumn("_seg", F.last("_start", ignorenulls=True).over(upto))
+    after = Window.partitionBy(*by, "_seg").orderBy(F.desc("_code")).rowsBetween(Window.unboundedPreceding, -1)
+    cut = cut.withColumn("_after", F.coalesce(F.sum("_n").over(after), F.lit(0)))
+    segments = cut.groupBy(*by, "_seg").agg(
+        F.min("_code").alias("_from"),
+        F.min(F.when(F.col("_after") < halo, F.col("_code"))).alias("_tail"),
+        F.min("_before").alias("_rows_before"),
+    )
+    listed = F.sort_array(F.collect_list(F.struct("_from", "_tail", "_rows_before")))
+    return segments.groupBy(*by).agg(listed.alias("_segments"))
 
 
-def segment_table(
-    df: DataFrame, by: list[str], buckets: list[Column], max_rows: int, halo: int
-) -> tuple[DataFrame, list[str]]:
-    """Segment of every (entity, bucket) of the entities larger than ``max_rows``.
+def with_segments(df: DataFrame, by: list[str], order: list[str], rows: int = SEGMENT_ROWS, halo: int = 1) -> DataFrame:
+    """Rows plus ``_seg``, ``_next`` and ``_offset``; small entities are segment 0.
 
-    ``buckets`` must be non-decreasing in the window order. Segments shorter
-    than ``halo`` rows join the one before, so only the next segment ever needs
-    rows of the current one. Columns: keys, bucket keys, ``_seg``, ``_next``
-    (following segment) and ``_offset`` (rows before the segment).
+    ``_next`` is the following segment for rows among the last ``halo`` (or a few
+    more) of a segment, else null. ``_offset`` counts the rows before a segment.
+    Rows that agree in the first two order columns stay together.
     """
-    names = [f"_bucket{i}" for i in range(len(buckets))]
-    counts = (
-        df.select(*by, *[b.alias(n) for b, n in zip(buckets, names)])
-        .groupBy(*by, *names)
-        .agg(F.count(F.lit(1)).alias("_n"))
-    )
-    entity = Window.partitionBy(*by)
-    ordered = entity.orderBy(*[F.asc_nulls_first(n) for n in names])
-    before = ordered.rowsBetween(Window.unboundedPreceding, -1)
-    cut = (
-        counts.withColumn("_total", F.sum("_n").over(entity))
-        .filter(F.col("_total") > max_rows)
-        .withColumn("_before", F.coalesce(F.sum("_n").over(before), F.lit(0)))
-        .withColumn("_seg", F.floor(F.col("_before") / max_rows))
-    )
-    sizes = cut.groupBy(*by, "_seg").agg(F.sum("_n").alias("_n"))
-    by_seg = entity.orderBy("_seg")
-    upto = by_seg.rowsBetween(Window.unboundedPreceding, 0)
-    merged = sizes.withColumn(
-        "_to", F.last(F.when((F.col("_n") >= halo) | (F.col("_seg") == 0), F.col("_seg")), True).over(upto)
-    )
-    final = (
-        merged.groupBy(*by, "_to")
-        .agg(F.sum("_n").alias("_n"))
-        .withColumn("_next", F.lead("_to").over(entity.orderBy("_to")))
-        .withColumn(
-            "_offset",
-            F.coalesce(
-                F.sum("_n").over(entity.orderBy("_to").rowsBetween(Window.unboundedPreceding, -1)),
-                F.lit(0),
-            ),
-        )
-        .drop("_n")
-    )
-    table = attach(cut.select(*by, *names, "_seg"), merged.select(*by, "_seg", "_to"), [*by, "_seg"])
-    return attach(table.drop("_seg"), final, [*by, "_to"]).withColumnRenamed("_to", "_seg"), names
-
-
-def with_segments(
-    df: DataFrame, by: list[str], buckets: list[Column], max_rows: int, halo: int = 1
-) -> DataFrame:
-    """Rows plus ``_seg``, ``_next`` and ``_offset``; small entities are segment 0."""
-    table, names = segment_table(df, by, buckets, max_rows, halo)
-    keyed = df.withColumns(dict(zip(names, buckets)))
-    joined = attach(keyed, table, [*by, *names]).drop(*names)
-    return joined.withColumns(
-        {"_seg": F.coalesce("_seg", F.lit(0)), "_offset": F.coalesce("_offset", F.lit(0))}
+    coded = _coded(df, by, order, rows)
+    joined = attach(coded, _plan(coded.select(*by, "_code"), by, rows, halo), by, bounded=True)
+    segments, code = F.col("_segments"), F.col("_code")
+    whole = segments.isNull()
+    number = F.size(F.filter(segments, lambda s: s["_from"] <= code)) - 1
+    here = F.get(segments, F.col("_seg"))
+    last = F.size(segments) - 1
+    return (
+        joined.withColumn("_seg", F.when(whole, F.lit(0)).otherwise(number))
+        .withColumn("_next", F.when(~whole & (F.col("_seg") < last) & (code >= here["_tail"]), F.col("_seg") + 1))
+        .withColumn("_offset", F.when(whole, F.lit(0)).otherwise(here["_rows_before"]).cast("bigint"))
+        .drop("_segments", "_code")
     )

@@ -333,12 +333,12 @@ def contact_day(pitches: DataFrame, order: list[str]) -> DataFrame:
     )
 
 
-def add_flag_batter_rolls(games: DataFrame, windows=WINDOWS, hot: bool | None = None) -> DataFrame:
+def add_flag_batter_rolls(games: DataFrame, windows=WINDOWS) -> DataFrame:
     """Rolling sums of batter-game counts and their rates; null ids stay null."""
     sums = ["pa", "ab", "hits", "hr", "rbi", "tb", "bb", "so"]
     rolled = rolling(
         games, "batter_id", ["game_date", "game_pk"], sums=sums, windows=windows,
-        null_entity=False, hot=hot, fine=F.col("game_pk"),
+        null_entity=False,
     )
     return rolling_ratios(
         rolled,
@@ -354,12 +354,12 @@ def add_flag_batter_rolls(games: DataFrame, windows=WINDOWS, hot: bool | None =
     )
 
 
-def add_flag_pitcher_rolls(games: DataFrame, windows=WINDOWS, hot: bool | None = None) -> DataFrame:
+def add_flag_pitcher_rolls(games: DataFrame, windows=WINDOWS) -> DataFrame:
     """Rolling sums of pitcher-game counts and their rates; null ids stay null."""
     sums = ["batters_faced", "hits_allowed", "hr_allowed", "bb_allowed", "so", "runs_allowed", "tb_allowed"]
     rolled = rolling(
         games, "pitcher_id", ["game_date", "game_pk"], sums=sums, windows=windows,
-        null_entity=False, hot=hot, fine=F.col("game_pk"),
+        null_entity=False,
     )
     faced = "batters_faced"
     return rolling_ratios(
@@ -421,7 +421,7 @@ _PITCHER_SUMS = "hr_allowed bb_allowed so".split()
 _PITCHER_MEANS = "hr9 bb_rate k_rate barrel_rate hard_hit_rate".split()
 
 
-def _prefixed_rolls(df: DataFrame, by: str, prefix: str, sums, means, windows, extra, hot) -> DataFrame:
+def _prefixed_rolls(df: DataFrame, by: str, prefix: str, sums, means, windows, extra) -> DataFrame:
     def build(frame_of):
         def keep(value: Column) -> Column:
             return F.when(F.col(by).isNotNull(), value)
@@ -435,11 +435,11 @@ def _prefixed_rolls(df: DataFrame, by: str, prefix: str, sums, means, windows, e
         return out
 
     return over_previous(
-        df, by, ["game_date", "game_pk"], build, windows=windows, hot=hot, fine=F.col("game_pk")
+        df, by, ["game_date", "game_pk"], build, windows=windows
     )
 
 
-def add_contact_batter_rolls(games: DataFrame, windows=WINDOWS, hot: bool | None = None) -> DataFrame:
+def add_contact_batter_rolls(games: DataFrame, windows=WINDOWS) -> DataFrame:
     """Full batter rolling table with ``bat_`` columns."""
     by = pick(games.columns, ["batter_id", "batter"], required=True)
     df = rename_missing(
@@ -454,10 +454,10 @@ def add_contact_batter_rolls(games: DataFrame, windows=WINDOWS, hot: bool | None
     has_ab = "ab" in games.columns and df.filter(F.col("ab").isNotNull()).limit(1).first() is not None
     at_bats = "ab" if has_ab else "pa"
     average = {"ba": lambda at: ratio(F.sum("hits").over(at), F.sum(at_bats).over(at))}
-    return _prefixed_rolls(df, by, "bat_", _BATTER_SUMS, _BATTER_MEANS, windows, average, hot)
+    return _prefixed_rolls(df, by, "bat_", _BATTER_SUMS, _BATTER_MEANS, windows, average)
 
 
-def add_contact_pitcher_rolls(games: DataFrame, windows=WINDOWS, hot: bool | None = None) -> DataFrame:
+def add_contact_pitcher_rolls(games: DataFrame, windows=WINDOWS) -> DataFrame:
     """Full pitcher rolling table with ``pit_`` columns."""
     by = pick(games.columns, ["pitcher_id", "pitcher"], required=True)
 
@@ -473,4 +473,4 @@ def add_contact_pitcher_rolls(games: DataFrame, windows=WINDOWS, hot: bool | Non
         ("hr9", [([], F.col("hr_per_bf") * 27.0)]),
     ]
     df = derive_if_empty(with_numeric(games, _PITCHER_INPUTS), rules)
-    return _prefixed_rolls(df, by, "pit_", _PITCHER_SUMS, _PITCHER_MEANS, windows, {}, hot)
+    return _prefixed_rolls(df, by, "pit_", _PITCHER_SUMS, _PITCHER_MEANS, windows, {})

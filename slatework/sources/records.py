@@ -84,7 +84,7 @@ def event_flags(df: DataFrame) -> dict[str, Column]:
 
 
 def plate_appearances(
-    df: DataFrame, source: str | None = None, arrival: list[str] | None = None, hot: bool | None = None
+    df: DataFrame, source: str | None = None, arrival: list[str] | None = None
 ) -> DataFrame:
     """One normalised row per plate appearance.
 
@@ -119,7 +119,7 @@ def plate_appearances(
         return rows
     order = [f"_arrival{i}" for i in range(len(arrival))]
     missing = F.col("pa_index").isNull()
-    numbered = ordinal(rows.withColumn("_open", missing), ["game_pk", "_open"], order, "_ordinal", hot)
+    numbered = ordinal(rows.withColumn("_open", missing), ["game_pk", "_open"], order, "_ordinal")
     return numbered.withColumn("pa_index", F.coalesce("pa_index", "_ordinal")).drop(
         "_open", "_ordinal", *order
     )

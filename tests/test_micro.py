@@ -58,9 +58,8 @@ def test_asof_strict_ties_and_dropped_rows(spark):
         [("a", D(2024, 1, 1), 1, "x"), ("a", D(2024, 1, 4), 1, "old"), ("a", D(2024, 1, 4), 2, "new"), ("a", D(2024, 1, 5), 1, "same")],
         "id string, d date, g int, v string",
     )
-    for hot in (False, True):
-        got = asof.asof_join(left, right, "id", "d", ["v"], tie=["g"], hot=hot, max_rows=1).select("k", "v")
-        assert rows(got) == [(1, "new"), (2, None), (5, None)]
+    got = asof.asof_join(left, right, "id", "d", ["v"], tie=["g"]).select("k", "v")
+    assert rows(got) == [(1, "new"), (2, None), (5, None)]
     same = asof.asof_join(left, right, "id", "d", ["v"], tie=["g"], strict=False).select("k", "v")
     assert rows(same) == [(1, "same"), (2, "x"), (5, None)]
 
@@ -94,9 +93,8 @@ def test_name_key(spark, raw, key):
 
 def test_median_fallbacks_and_single_row_slate(spark):
     df = spark.createDataFrame([("s", 1.0, None), ("s", 3.0, None), ("s", None, None), ("t", 5.0, 2.0)], "d string, a double, b double")
-    for hot in (False, True):
-        got = slates.fill_with_median(df, ["d"], {"a": 9.0, "b": 7.0}, hot)
-        assert rows(got) == [("s", 1.0, 7.0), ("s", 2.0, 7.0), ("s", 3.0, 7.0), ("t", 5.0, 2.0)]
+    got = slates.fill_with_median(df, ["d"], {"a": 9.0, "b": 7.0})
+    assert rows(got) == [("s", 1.0, 7.0), ("s", 2.0, 7.0), ("s", 3.0, 7.0), ("t", 5.0, 2.0)]
     z = slates.zscore_by(df, ["d"], "b", "z")
     assert {r[-1] for r in rows(z)} == {0.0}
 
