@@ -96,7 +96,10 @@ def _(t: Tables) -> DataFrame:
     return gametables.pitcher_game(contact_flags(t))
 
 
-_B_RATES = "ev_mean ev_max la_mean barrel_rate hardhit_rate k_rate bb_rate avg_ev avg_la hard_hit_rate iso hr_per_pa tb_per_pa".split()
+_B_RATES = [
+    "ev_mean", "ev_max", "la_mean", "barrel_rate", "hardhit_rate", "k_rate", "bb_rate", "avg_ev",
+    "avg_la", "hard_hit_rate", "iso", "hr_per_pa", "tb_per_pa",
+]
 
 
 @query(
@@ -111,7 +114,9 @@ def _(t: Tables) -> DataFrame:
 @query(
     "a04_pitcher_game_contact",
     f"""select game_pk, game_date, pitcher_id, pitcher_name, team, batters_faced, bb_allowed, so, hr_allowed, barrels_allowed, hardhit_allowed,
-    {', '.join(r(c) for c in 'bb_rate k_rate barrel_rate hard_hit_rate hr_per_bf hr9'.split())} from ({PITCHER_CONTACT})""",
+    {', '.join(r(c) for c in [
+        "bb_rate", "k_rate", "barrel_rate", "hard_hit_rate", "hr_per_bf", "hr9",
+    ])} from ({PITCHER_CONTACT})""",
 )
 def _(t: Tables) -> DataFrame:
     return gametables.pitcher_contact_game(t.dt_flags)

@@ -270,7 +270,7 @@ _TOKENS = r"""select page_id, unnest(t) as token, cast(generate_subscripts(t, 1)
  select page_id, list_filter(list_transform(string_split(regexp_replace(regexp_replace(regexp_replace(regexp_replace(html,
   '<!--(?:.|\n)*?-->', chr(1), 'g'), '<script[^>]*>(?:.|\n)*?</script\s*>', chr(1), 'g'),
   '<style[^>]*>(?:.|\n)*?</style\s*>', chr(1), 'g'), '<[^>]*>', chr(1), 'g'), chr(1)),
-  lambda x: trim(replace(replace(replace(replace(x, '&middot;', '·'), '&copy;', '©'), '&quot;', '"'), '&amp;', '&'), ' ' || chr(10))),
+  lambda x: trim(regexp_replace(replace(replace(replace(x, '&middot;', '·'), '&copy;', '©'), '&quot;', '"'), '&amp;?', '&', 'g'), ' ' || chr(10))),
   lambda x: x <> '') as t from pages)"""
 
 
@@ -366,6 +366,25 @@ def _(t: Tables) -> DataFrame:
     )
 
 
+@query(
+    "io17_export_lineups",
+    """select cast(game_date as varchar) as game_date, team, opponent, player_name, batting_order,
+    case when player_id % 2 = 0 then 'L' end as handedness_bat, 'CF' as position, 'fangraphs' as source from dt_projected""",
+)
+def _(t: Tables) -> DataFrame:
+    """Projected lineups as an export has them: its own names, slashed dates, text numbers."""
+    raw = t.dt_projected.select(
+        F.date_format("game_date", "M/d/yyyy").alias("Date"),
+        F.col("team").alias("Team"),
+        F.col("opponent").alias("Opp"),
+        F.col("player_name").alias("Name"),
+        F.col("batting_order").cast("string").alias("BatOrder"),
+        F.when(F.col("player_id") % 2 == 0, "L").alias("Bats"),
+        F.lit("CF").alias("Pos"),
+    )
+    return providers.export_lineups(raw)
+
+
 @query(
     "io18_provider_starters",
     f"""select distinct pitcher_name, {_LIVE.format('team')} as team, {_LIVE.format('opponent')} as opponent, pitcher_id,

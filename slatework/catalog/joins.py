@@ -225,16 +225,14 @@ _SCHED = f"select game_pk, game_date, season, {_LIVE.format('team')} as team, {_
 @query(
     "j10_strongest_key_join",
     f"""with sched as ({_SCHED}) select l.player_name, l.batting_order, s.team, s.game_date, g.game_pk
-    from (select *, {_LIVE.format('team')} as tm, {_LIVE.format('opponent')} as opp from dt_lineups where batting_order = 1) l
+    from (select *, {_LIVE.format('team')} as tm, {_LIVE.format('opponent')} as opp from dt_lineups) l
     join sched s on l.game_pk = s.game_pk and l.is_home = s.is_home
     left join sched g on g.game_date = l.game_date and g.team = l.tm and g.opponent = l.opp""",
 )
 def _(t: Tables) -> DataFrame:
-    leadoff = t.dt_lineups.filter("batting_order = 1").select(
-        "player_name", "batting_order", "game_date", "team", "opponent"
-    )
+    lineups = t.dt_lineups.select("player_name", "batting_order", "game_date", "team", "opponent")
     schedule = joins.schedule_teams(t.dt_games)
-    provider = leadoff.withColumns({c: team_code(F.col(c), LIVE) for c in ("team", "opponent")})
+    provider = lineups.withColumns({c: team_code(F.col(c), LIVE) for c in ("team", "opponent")})
     return joins.strongest_key_join(provider, schedule).select(
         "player_name", "batting_order", "team", "game_date", "game_pk"
     )
@@ -326,11 +324,15 @@ def _(t: Tables) -> DataFrame:
     kind = F.col("user_id") % 4
     station = F.when(kind == 0, "KATL").when(kind == 1, "KBOS").when(kind == 2, "K5280").otherwise("KLGA")
     empty = F.lit(None).cast("double")
-    names = (
-        "temperature_c dewpoint_f dewpoint_c wind_speed_mph wind_speed_kt wind_gust_mph wind_gust_kt pressure_hpa"
-        " visibility_miles humidity precipitation_mm weather_wind_out weather_wind_in weather_crosswind"
-    ).split()
-    texts = "weather_condition flight_category raw_metar weather_source weather_pull_ts ceiling_ft".split()
+    names = [
+        "temperature_c", "dewpoint_f", "dewpoint_c", "wind_speed_mph", "wind_speed_kt",
+        "wind_gust_mph", "wind_gust_kt", "pressure_hpa", "visibility_miles", "humidity",
+        "precipitation_mm", "weather_wind_out", "weather_wind_in", "weather_crosswind",
+    ]
+    texts = [
+        "weather_condition", "flight_category", "raw_metar", "weather_source", "weather_pull_ts",
+        "ceiling_ft",
+    ]
     observed = t.events.select(
         station.alias("station_id"), F.col("ts").alias("observed_at_utc"), F.col("value").alias("temperature_f"),
         (F.col("value") * 10).alias("wind_dir_degrees"), *[empty.alias(n) for n in names],

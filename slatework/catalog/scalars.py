@@ -111,11 +111,16 @@ def _(t: Tables) -> DataFrame:
 
 @query(
     "s08_date_parse",
-    """select o_orderkey, case when o_orderkey % 4 <> 0 then cast(o_orderdate as date) end as day,
-    case when o_orderkey % 4 <> 0 then cast(cast(o_orderdate as date) as varchar) end as day_text from orders""",
+    """select o_orderkey, case when o_orderkey % 7 <> 0 then cast(o_orderdate as date) end as day,
+    case when o_orderkey % 7 <> 0 then cast(cast(o_orderdate as date) as varchar) end as day_text from orders""",
 )
 def _(t: Tables) -> DataFrame:
-    raw = F.when(F.col("o_orderkey") % 4 == 0, "not a date").otherwise(F.col("o_orderdate").cast("string"))
+    """ISO text, every declared form, and text that is no date."""
+    shapes = ["MM/dd/yyyy", "M/d/yyyy", "MMMM d, yyyy", "MMM d, yyyy", "yyyyMMdd"]
+    raw = F.when(F.col("o_orderkey") % 7 == 0, "not a date")
+    for k, shape in enumerate(shapes, 1):
+        raw = raw.when(F.col("o_orderkey") % 7 == k, F.date_format("o_orderdate", shape))
+    raw = raw.otherwise(F.col("o_orderdate").cast("string"))
     return t.orders.select("o_orderkey", date_of(raw).alias("day"), date_text(raw).alias("day_text"))
 
 

@@ -124,8 +124,12 @@ def _(t: Tables) -> DataFrame:
 
 
 # Game views use rolling means of the game tables, without a prefix.
-_FORM_BAT = "rbi tb barrel_rate hardhit_rate ev_mean bb_rate k_rate".split()
-_FORM_PIT = "k_rate bb_rate hr_rate barrel_rate_allowed hardhit_rate_allowed ev_mean".split()
+_FORM_BAT = [
+    "rbi", "tb", "barrel_rate", "hardhit_rate", "ev_mean", "bb_rate", "k_rate",
+]
+_FORM_PIT = [
+    "k_rate", "bb_rate", "hr_rate", "barrel_rate_allowed", "hardhit_rate_allowed", "ev_mean",
+]
 
 
 def _form_sql(source: str, by: str, names: list[str]) -> str:
@@ -490,11 +494,31 @@ def _(t: Tables) -> DataFrame:
     """The rolling source knows batters with more than one appearance per game, the mart all with a past."""
     games = gametables.batter_game(contact_flags(t)).select("batter_id", "game_date", "game_pk", "pa")
     rolls = rolling(games, "batter_id", ["game_date", "game_pk"], means=["pa"], windows=(7,), name="bat_{col}_roll{w}")
+    rolls = stage(rolls, "batter_rolls")
     slots = t.dt_lineups.select("game_pk", F.col("batting_order").alias("lineup_slot"), F.col("player_id").alias("batter_id"))
     first, second = rolls.filter("bat_pa_roll7 > 1.0"), rolls.filter("bat_pa_roll7 is not null")
     return inputs.batter_inputs(slots, first, second, F.lit("2000-01-01").cast("date"), ["game_pk"])
 
 
+@query(
+    "b17_pregame_pitchers",
+    f"""with rolls as (select pitcher_id, game_date, game_pk, avg(bf) {over(7, 'pitcher_id', 'game_date, game_pk')} as v from ({PITCHER_COUNT})),
+    a as (select pitcher_id, max_by(v, (game_date, game_pk)) as v from rolls where game_date < {_CUTOFF} and v > 1.0 group by 1),
+    b as (select pitcher_id, max_by(v, (game_date, game_pk)) as v from rolls where game_date < {_CUTOFF} and v is not null group by 1)
+    select s.game_pk, s.is_home, s.pitcher_id, {r('case when a.pitcher_id is not null then a.v else b.v end', 'pit_bf_roll7')},
+    case when a.pitcher_id is not null then 'rolling' when b.pitcher_id is not null then 'mart_fallback' end as _source
+    from dt_starters s left join a on a.pitcher_id = s.pitcher_id left join b on b.pitcher_id = s.pitcher_id""",
+)
+def _(t: Tables) -> DataFrame:
+    """Starters with the latest earlier workload; sources as for the batters."""
+    games = gametables.pitcher_game(contact_flags(t)).select("pitcher_id", "game_date", "game_pk", "bf")
+    rolls = rolling(games, "pitcher_id", ["game_date", "game_pk"], means=["bf"], windows=(7,), name="pit_{col}_roll{w}")
+    rolls = stage(rolls, "pitcher_rolls")
+    starters = t.dt_starters.select("game_pk", "is_home", "pitcher_id")
+    first, second = rolls.filter("pit_bf_roll7 > 1.0"), rolls.filter("pit_bf_roll7 is not null")
+    return inputs.pitcher_inputs(starters, first, second, F.lit("2000-01-01").cast("date"), ["game_pk"])
+
+
 @query(
     "b18_pitches_to_plate_appearances",
     f"""select l_orderkey as game_pk, l_linenumber::bigint as pa_index, 1998::bigint as season, l_partkey as batter_id, l_suppkey as pitcher_id, {EVENT_SQL} as event_type,

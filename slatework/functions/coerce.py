@@ -69,9 +69,14 @@ def text_of(df: DataFrame, name: str) -> Column:
     return F.col(name).cast("string")
 
 
+# Date forms of the feeds besides ISO, in the order in which they are tried.
+DATE_FORMS = ["M/d/yyyy", "MMMM d, yyyy", "MMM d, yyyy", "yyyyMMdd", "yyyy/M/d", "M-d-yyyy"]
+
+
 def date_of(value: Column) -> Column:
-    """Date of a date, timestamp or ISO text column; unreadable text is null."""
-    return value.try_cast("date")
+    """Date of a date, timestamp or text column (ISO or ``DATE_FORMS``); unreadable text is null."""
+    text = F.trim(value.cast("string"))
+    return F.coalesce(value.try_cast("date"), *[F.try_to_date(text, form) for form in DATE_FORMS])
 
 
 def date_text(value: Column) -> Column:

@@ -26,7 +26,7 @@ SUFFIX = r"(?U)\b(jr|sr|ii|iii|iv|v)\b\.?"
 def _fold_tables() -> tuple[str, str, str, tuple[tuple[str, str], ...]]:
     """(single sources, single targets, deleted marks, multi-character pairs)."""
     single_from, single_to, marks, multi = [], [], [], []
-    for code in range(0x80, min(0x20000, sys.maxunicode)):
+    for code in range(0x80, sys.maxunicode + 1):
         char = chr(code)
         if unicodedata.combining(char):
             marks.append(char)

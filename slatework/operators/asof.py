@@ -154,10 +154,12 @@ def latest_with_fallback(
     tie: list[str],
     cutoff: Column,
     labels: tuple[str, str] = ("rolling", "mart_fallback"),
+    required: bool = False,
 ) -> DataFrame:
     """Latest earlier row of the first source, else of the second, with its label.
 
-    Ids neither source knows keep nulls and a null ``_source``.
+    Ids neither source knows keep nulls and a null ``_source``; with
+    ``required`` the first of them stops the job.
     """
 
     def newest(df: DataFrame, alias: str) -> DataFrame:
@@ -169,6 +171,9 @@ def latest_with_fallback(
     )
     chosen = F.coalesce(F.col("_a"), F.col("_b"))
     source = F.when(F.col("_a").isNotNull(), labels[0]).when(F.col("_b").isNotNull(), labels[1])
+    if required:
+        unknown = F.concat(F.lit(f"no earlier row for {by} "), F.coalesce(F.col(by).cast("string"), F.lit("null")))
+        source = F.coalesce(source, F.raise_error(unknown).cast("string"))
     return joined.select(
         *ids.columns, *[chosen.getField(v).alias(v) for v in values], source.alias("_source")
     )

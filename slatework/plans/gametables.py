@@ -21,10 +21,10 @@ from slatework.operators.shape import (
     with_numeric,
 )
 
-FLAGS = (
-    "is_pa is_ab is_hit is_1b is_2b is_3b is_hr is_bb is_hbp is_so is_rbi is_sac_fly"
-    " is_reached_on_error"
-).split()
+FLAGS = [
+    "is_pa", "is_ab", "is_hit", "is_1b", "is_2b", "is_3b", "is_hr", "is_bb", "is_hbp", "is_so",
+    "is_rbi", "is_sac_fly", "is_reached_on_error",
+]
 
 
 def _sum(name: str) -> Column:
@@ -39,7 +39,10 @@ def base_columns(pa: DataFrame) -> DataFrame:
     """Keys required; flags 0 and speed/angle 0.0 where missing; total bases derived."""
     for key in ("game_pk", "game_date", "batter_id", "pitcher_id"):
         pick(pa.columns, [key], required=True)
-    flags = "is_hit is_hr is_rbi is_bb is_so is_barrel is_hard_hit is_1b is_2b is_3b".split()
+    flags = [
+        "is_hit", "is_hr", "is_rbi", "is_bb", "is_so", "is_barrel", "is_hard_hit", "is_1b", "is_2b",
+        "is_3b",
+    ]
     have = set(pa.columns)
     zero = F.lit(0).cast("bigint")
     out = pa.withColumns(
@@ -404,21 +407,22 @@ def _batter_rules() -> list:
     ]
 
 
-_BATTER_INPUTS = (
-    "pa hits hr rbi tb bb so barrels barrel_rate hardhit hard_hit_rate avg_ev avg_la iso hr_per_pa"
-    " tb_per_pa bb_rate k_rate fb_rate pulled_air_rate ab 1b 2b 3b bip fb pull_air hard_hit"
-).split()
-_BATTER_SUMS = "hits hr rbi tb bb so".split()
-_BATTER_MEANS = (
-    "hr_per_pa tb_per_pa bb_rate k_rate barrel_rate hard_hit_rate fb_rate pulled_air_rate avg_ev"
-    " avg_la iso"
-).split()
-_PITCHER_INPUTS = (
-    "batters_faced bb_allowed so hr_allowed barrels_allowed hardhit_allowed barrel_rate"
-    " hard_hit_rate bb_rate k_rate hr_per_bf hr9"
-).split()
-_PITCHER_SUMS = "hr_allowed bb_allowed so".split()
-_PITCHER_MEANS = "hr9 bb_rate k_rate barrel_rate hard_hit_rate".split()
+_BATTER_INPUTS = [
+    "pa", "hits", "hr", "rbi", "tb", "bb", "so", "barrels", "barrel_rate", "hardhit", "hard_hit_rate",
+    "avg_ev", "avg_la", "iso", "hr_per_pa", "tb_per_pa", "bb_rate", "k_rate", "fb_rate",
+    "pulled_air_rate", "ab", "1b", "2b", "3b", "bip", "fb", "pull_air", "hard_hit",
+]
+_BATTER_SUMS = ["hits", "hr", "rbi", "tb", "bb", "so"]
+_BATTER_MEANS = [
+    "hr_per_pa", "tb_per_pa", "bb_rate", "k_rate", "barrel_rate", "hard_hit_rate", "fb_rate",
+    "pulled_air_rate", "avg_ev", "avg_la", "iso",
+]
+_PITCHER_INPUTS = [
+    "batters_faced", "bb_allowed", "so", "hr_allowed", "barrels_allowed", "hardhit_allowed",
+    "barrel_rate", "hard_hit_rate", "bb_rate", "k_rate", "hr_per_bf", "hr9",
+]
+_PITCHER_SUMS = ["hr_allowed", "bb_allowed", "so"]
+_PITCHER_MEANS = ["hr9", "bb_rate", "k_rate", "barrel_rate", "hard_hit_rate"]
 
 
 def _prefixed_rolls(df: DataFrame, by: str, prefix: str, sums, means, windows, extra) -> DataFrame:

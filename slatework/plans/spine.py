@@ -38,44 +38,62 @@ def _select(df: DataFrame, fields: list[tuple[str, str, str]], extra: list[str]
     return df.select(*out, *extra)
 
 
-def _fields(text: str) -> list[tuple[str, str, str]]:
-    """``output:kind`` or ``output:kind:input`` words."""
-    parts = [word.split(":") for word in text.split()]
-    return [(p[0], p[1], p[2] if len(p) > 2 else p[0]) for p in parts]
-
-
-SCHEDULE = _fields(
-    "game_pk:i game_date:d season:i game_type:s status:s status_detailed:s"
-    " scheduled_start_time_utc:s scheduled_start_time_et:s away_team:s home_team:s away_team_id:i"
-    " home_team_id:i away_team_name:s home_team_name:s venue_id:i venue_name:s doubleheader_flag:b"
-    " game_number:i series_description:s day_night:s"
-)
-GAMES = _fields(
-    "game_pk:i game_status:s:status game_status_detailed:s:status_detailed away_score:i"
-    " home_score:i home_win:b innings:i start_time_utc:s start_time_et:s"
-)
-WEATHER = _fields(
-    "game_pk:i weather_station_id:s:station_id weather_observed_at_utc:t:observed_at_utc"
-    " temperature_f:f temperature_c:f dewpoint_f:f dewpoint_c:f wind_mph:f wind_kt:f"
-    " wind_gust_mph:f wind_gust_kt:f wind_direction_deg:f wind_dir_text:s pressure_hpa:f"
-    " visibility_miles:f ceiling_ft:i weather_condition:s flight_category:s humidity:f"
-    " precipitation_mm:f roof_status_weather:s:roof_status weather_wind_out:f weather_wind_in:f"
-    " weather_crosswind:f weather_source:s"
-)
-PARKS = _fields(
-    "venue_id:i park_team:s:team park_team_name:s:team_name park_city:s:city park_state:s:state"
-    " park_country:s:country surface_type:s roof_type:s is_dome:b is_retractable:b altitude_ft:f"
-    " park_latitude:f:latitude park_longitude:f:longitude park_time_zone:s:time_zone"
-    " park_weather_station_id:s:weather_station_id park_factor_runs:f park_factor_hr:f"
-    " park_factor_hits:f park_factor_2b:f park_factor_3b:f park_factor_bb:f"
-)
-LINEUPS = _fields(
-    "game_pk:i team:s lineup_status:s batting_order:i player_id:i player_name:s"
-)
-STARTERS = _fields(
-    "game_pk:i team:s starter_status:s starter_pitcher_id:i:pitcher_id"
-    " starter_pitcher_name:s:pitcher_name starter_throws:s:throws"
-)
+# Fixed values: (output column, kind of value, input column) of each part of the spine.
+SCHEDULE = [
+    ("game_pk", "i", "game_pk"), ("game_date", "d", "game_date"), ("season", "i", "season"),
+    ("game_type", "s", "game_type"), ("status", "s", "status"),
+    ("status_detailed", "s", "status_detailed"),
+    ("scheduled_start_time_utc", "s", "scheduled_start_time_utc"),
+    ("scheduled_start_time_et", "s", "scheduled_start_time_et"), ("away_team", "s", "away_team"),
+    ("home_team", "s", "home_team"), ("away_team_id", "i", "away_team_id"),
+    ("home_team_id", "i", "home_team_id"), ("away_team_name", "s", "away_team_name"),
+    ("home_team_name", "s", "home_team_name"), ("venue_id", "i", "venue_id"),
+    ("venue_name", "s", "venue_name"), ("doubleheader_flag", "b", "doubleheader_flag"),
+    ("game_number", "i", "game_number"), ("series_description", "s", "series_description"),
+    ("day_night", "s", "day_night"),
+]
+GAMES = [
+    ("game_pk", "i", "game_pk"), ("game_status", "s", "status"),
+    ("game_status_detailed", "s", "status_detailed"), ("away_score", "i", "away_score"),
+    ("home_score", "i", "home_score"), ("home_win", "b", "home_win"), ("innings", "i", "innings"),
+    ("start_time_utc", "s", "start_time_utc"), ("start_time_et", "s", "start_time_et"),
+]
+WEATHER = [
+    ("game_pk", "i", "game_pk"), ("weather_station_id", "s", "station_id"),
+    ("weather_observed_at_utc", "t", "observed_at_utc"), ("temperature_f", "f", "temperature_f"),
+    ("temperature_c", "f", "temperature_c"), ("dewpoint_f", "f", "dewpoint_f"),
+    ("dewpoint_c", "f", "dewpoint_c"), ("wind_mph", "f", "wind_mph"), ("wind_kt", "f", "wind_kt"),
+    ("wind_gust_mph", "f", "wind_gust_mph"), ("wind_gust_kt", "f", "wind_gust_kt"),
+    ("wind_direction_deg", "f", "wind_direction_deg"), ("wind_dir_text", "s", "wind_dir_text"),
+    ("pressure_hpa", "f", "pressure_hpa"), ("visibility_miles", "f", "visibility_miles"),
+    ("ceiling_ft", "i", "ceiling_ft"), ("weather_condition", "s", "weather_condition"),
+    ("flight_category", "s", "flight_category"), ("humidity", "f", "humidity"),
+    ("precipitation_mm", "f", "precipitation_mm"), ("roof_status_weather", "s", "roof_status"),
+    ("weather_wind_out", "f", "weather_wind_out"), ("weather_wind_in", "f", "weather_wind_in"),
+    ("weather_crosswind", "f", "weather_crosswind"), ("weather_source", "s", "weather_source"),
+]
+PARKS = [
+    ("venue_id", "i", "venue_id"), ("park_team", "s", "team"), ("park_team_name", "s", "team_name"),
+    ("park_city", "s", "city"), ("park_state", "s", "state"), ("park_country", "s", "country"),
+    ("surface_type", "s", "surface_type"), ("roof_type", "s", "roof_type"),
+    ("is_dome", "b", "is_dome"), ("is_retractable", "b", "is_retractable"),
+    ("altitude_ft", "f", "altitude_ft"), ("park_latitude", "f", "latitude"),
+    ("park_longitude", "f", "longitude"), ("park_time_zone", "s", "time_zone"),
+    ("park_weather_station_id", "s", "weather_station_id"),
+    ("park_factor_runs", "f", "park_factor_runs"), ("park_factor_hr", "f", "park_factor_hr"),
+    ("park_factor_hits", "f", "park_factor_hits"), ("park_factor_2b", "f", "park_factor_2b"),
+    ("park_factor_3b", "f", "park_factor_3b"), ("park_factor_bb", "f", "park_factor_bb"),
+]
+LINEUPS = [
+    ("game_pk", "i", "game_pk"), ("team", "s", "team"), ("lineup_status", "s", "lineup_status"),
+    ("batting_order", "i", "batting_order"), ("player_id", "i", "player_id"),
+    ("player_name", "s", "player_name"),
+]
+STARTERS = [
+    ("game_pk", "i", "game_pk"), ("team", "s", "team"), ("starter_status", "s", "starter_status"),
+    ("starter_pitcher_id", "i", "pitcher_id"), ("starter_pitcher_name", "s", "pitcher_name"),
+    ("starter_throws", "s", "throws"),
+]
 
 
 def prep_schedule(schedule: DataFrame, check: bool = True) -> DataFrame:

@@ -67,14 +67,19 @@ def read_if_exists(spark: SparkSession, path: str, schema: T.StructType | str) -
         return spark.createDataFrame([], schema)
 
 
-def write_partitioned(df: DataFrame, path: str, by: list[str], overwrite: bool = False) -> None:
+def write_partitioned(
+    df: DataFrame, path: str, by: list[str], overwrite: bool = False, files: int = 8
+) -> None:
     """One folder per partition value; an existing output is an error unless ``overwrite``.
 
-    Overwriting replaces only the partitions present in ``df``. Rows are
-    spread over the writing tasks by partition value and by chance, so one
-    large partition is written by many tasks.
+    Overwriting replaces only the partitions present in ``df``. Rows are dealt
+    by partition value and a hash of the row into ``files`` parts: a value is
+    written by at most that many tasks, each writing one file, and by more than
+    one if it is large.
     """
-    writer = df.write.partitionBy(*by)
+    hashed = [f.name for f in df.schema if "map<" not in f.dataType.simpleString()]
+    part = F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in hashed]), F.lit(files).cast("bigint"))
+    writer = df.repartition(*by, part).write.partitionBy(*by)
     if overwrite:
         writer.mode("overwrite").option("partitionOverwriteMode", "dynamic").parquet(path)
     else:

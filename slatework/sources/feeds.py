@@ -45,11 +45,12 @@ VENUE_FEED = (
     " stateAbbrev: string, country: string, latitude: double, longitude: double>,"
     " timeZone: struct<id: string>, roofType: string, turfType: string>>"
 )
-_OBSERVATION_FIELDS = (
-    "icaoId station_id station id obsTime observationTime observation_time temp tempC dewp"
-    " dewpoint wdir windDir wspd windSpeed wgst windGust altim seaLevelPressure visib visibility"
-    " rawOb raw_text rawText flight_category wxString wx ceil"
-).split()
+_OBSERVATION_FIELDS = [
+    "icaoId", "station_id", "station", "id", "obsTime", "observationTime", "observation_time", "temp",
+    "tempC", "dewp", "dewpoint", "wdir", "windDir", "wspd", "windSpeed", "wgst", "windGust", "altim",
+    "seaLevelPressure", "visib", "visibility", "rawOb", "raw_text", "rawText", "flight_category",
+    "wxString", "wx", "ceil",
+]
 OBSERVATION_FEED = "array<struct<" + ", ".join(f"{f}: string" for f in _OBSERVATION_FIELDS) + ">>"
 
 

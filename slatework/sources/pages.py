@@ -30,21 +30,47 @@ _HIDDEN = r"(?is)<!--.*?-->|<(script|style|template)\b[^>]*>.*?</\1\s*>"
 _TAG = r"(?s)<[^>]*>"
 
 
+# What the numeric references 128 to 159 stand for in HTML.
+_WINDOWS = {
+    128: "€", 130: "‚", 131: "ƒ", 132: "„", 133: "…", 134: "†", 135: "‡", 136: "ˆ", 137: "‰",
+    138: "Š", 139: "‹", 140: "Œ", 142: "Ž", 145: "‘", 146: "’", 147: "“", 148: "”", 149: "•",
+    150: "–", 151: "—", 152: "˜", 153: "™", 154: "š", 155: "›", 156: "œ", 158: "ž", 159: "Ÿ",
+}
+_COMMON = ["amp;", "lt;", "gt;", "quot;", "apos;", "nbsp;", "copy;", "middot;", "ndash;", "mdash;", "rsquo;"]
+_REFERENCE = r"&(?:#[0-9]+|#[xX][0-9a-fA-F]+|[A-Za-z][A-Za-z0-9]*);?"
+# Names that count without a semicolon, the longest first.
+_BARE = sorted((name for name in html5 if not name.endswith(";")), key=lambda n: (-len(n), n))
+
+
+def _numeric(ref: Column) -> Column:
+    """Character of a numeric reference of any length; U+FFFD where the number is no character."""
+    digits = F.regexp_replace(ref, r"^&#[xX]?0*|;$", "")
+    is_hex = ref.rlike("^&#[xX]")
+    too_long = F.length(digits) > F.when(is_hex, 6).otherwise(7)
+    shown = F.when(too_long | (digits == ""), F.lit("0")).otherwise(digits)
+    code = F.when(is_hex, F.conv(shown, 16, 10)).otherwise(F.conv(shown, 10, 10)).cast("bigint")
+    bad = (code == 0) | code.between(0xD800, 0xDFFF) | (code > 0x10FFFF)
+    valid = F.when(bad, F.lit(0xFFFD).cast("bigint")).otherwise(code)
+    char = F.decode(F.unhex(F.lpad(F.hex(valid), 8, "0")), "UTF-32")
+    return F.translate(char, "".join(map(chr, _WINDOWS)), "".join(_WINDOWS.values()))
+
+
 def unescape(text: Column) -> Column:
-    """Decode character references, named (per the HTML tables) and numeric."""
-    named = literal_map({name: char for name, char in html5.items() if name.endswith(";")})
+    """Decode character references by the HTML rules; what is no reference stays as it is."""
+    common = literal_map({name: html5[name] for name in _COMMON})
+    named = literal_map({name: char for name, char in html5.items() if name.endswith(";") and name not in _COMMON})
+    bare = literal_map({name: html5[name] for name in _BARE})
 
     def decoded(ref: Column) -> Column:
-        body = F.regexp_replace(F.lower(ref), "[&#;]", "")
-        code = F.when(body.startswith("x"), F.substring(body, 2, 8)).otherwise(F.conv(body, 10, 16))
-        number = F.decode(F.unhex(F.lpad(code, 8, "0")), "UTF-32")
-        name = F.try_element_at(named, F.substring(ref, 2, 40))
-        return F.when(ref.startswith("&#"), number).otherwise(F.coalesce(name, ref))
+        name = F.substring(ref, F.lit(2), F.length(ref))
+        full = F.coalesce(F.try_element_at(common, name), F.try_element_at(named, name))
+        head = F.regexp_extract(ref, "^&(" + "|".join(_BARE) + ")", 1)
+        begun = F.concat(F.try_element_at(bare, head), F.substring(ref, F.length(head) + 2, F.length(ref)))
+        return F.when(ref.startswith("&#"), _numeric(ref)).otherwise(F.coalesce(full, begun, ref))
 
-    pattern = r"&(?:#\d{1,7}|#[xX][0-9a-fA-F]{1,6}|[A-Za-z][A-Za-z0-9]*);"
     # Text between references and the references themselves, woven together.
-    between = F.split(text, pattern)
-    refs = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
+    between = F.split(text, _REFERENCE)
+    refs = F.regexp_extract_all(text, F.lit(_REFERENCE), F.lit(0))
     woven = F.concat_ws(
         "", F.transform(between, lambda part, i: F.concat(part, F.coalesce(decoded(F.get(refs, i)), F.lit(""))))
     )
@@ -164,7 +190,7 @@ def card_rows(df: DataFrame, key: str, html: str) -> DataFrame:
     )
     scanned = found.withColumn("away_scan", _scan_lineup(t, F.get("status", F.lit(0))))
     ended = F.coalesce(F.col("away_scan.stop"), F.col("away_scan.next"))
-    later = F.filter(F.slice("status", 2, 1000000), lambda i: i > ended)
+    later = F.filter(F.slice("status", F.lit(2), F.size("status")), lambda i: i > ended)
     home_status = F.coalesce(F.get(later, 0), F.get("status", F.lit(1)))
     sides = scanned.withColumn("home_status", home_status).withColumn(
         "home_scan", _scan_lineup(t, F.col("home_status"))

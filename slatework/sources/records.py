@@ -49,11 +49,11 @@ PA_NAMES = {
     "hc_x": ["hc_x", "hit_coordinate_x"],
     "hc_y": ["hc_y", "hit_coordinate_y"],
 }
-_PA_INTS = (
-    "game_pk season inning batter_id pitcher_id pa_index pitch_number_start pitch_number_end"
-    " outs_before_pa outs_after_pa runs_scored_on_pa rbi"
-).split()
-_PA_NUMBERS = "launch_speed launch_angle hit_distance_sc hc_x hc_y".split()
+_PA_INTS = [
+    "game_pk", "season", "inning", "batter_id", "pitcher_id", "pa_index", "pitch_number_start",
+    "pitch_number_end", "outs_before_pa", "outs_after_pa", "runs_scored_on_pa", "rbi",
+]
+_PA_NUMBERS = ["launch_speed", "launch_angle", "hit_distance_sc", "hc_x", "hc_y"]
 
 
 def _read(df: DataFrame, candidates: list[str], read, dtype: str, default=None) -> Column:

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from slatework.functions import scoring as sc
 from slatework.functions import text
-from slatework.functions.coerce import flag, int_of, number, ratio
+from slatework.functions.coerce import date_of, flag, int_of, number, ratio
 from slatework.operators import asof, dedupe, joins, quality, resolve, shape, slates
 from slatework.operators.rolling import rolling
 from slatework.plans import gametables, inputs, mart
@@ -189,3 +189,56 @@ def test_lineup_card_scan_stops_at_nine_and_terminator(spark):
     got = pages.card_rows(df, "page", "html")
     counts = {(r["team"], r["record_type"]): r["count"] for r in got.groupBy("team", "record_type").count().collect()}
     assert counts == {("ARI", "lineup"): 9, ("ARI", "starter"): 1, ("NYY", "lineup"): 2, ("NYY", "starter"): 1}
+
+
+@pytest.mark.parametrize(
+    "raw, shown",
+    [
+        ("&#x110000;", "�"), ("&#xD800;", "�"), ("&#0;", "�"), ("&#150;", "–"), ("&amp", "&"),
+        ("&#0000000065;", "A"), ("&#99999999999;", "�"), ("a &lt;b&gt; &amp;amp; c", "a <b> &amp; c"),
+        ("&notit; &bogus; & &#; &#x;", "¬it; &bogus; & &#; &#x;"), ("&eacute&Eacute;", "éÉ"), ("&#x1F600", "😀"), (None, None),
+    ],
+)
+def test_character_references(spark, raw, shown):
+    assert value(spark, pages.unescape(F.lit(raw).cast("string"))) == shown
+
+
+@pytest.mark.parametrize(
+    "raw, day",
+    [
+        ("2024-01-05", D(2024, 1, 5)), ("2024-01-05 10:00:00", D(2024, 1, 5)), ("04/03/2026", D(2026, 4, 3)),
+        ("4/3/2026", D(2026, 4, 3)), ("April 3, 2026", D(2026, 4, 3)), ("Apr 3, 2026", D(2026, 4, 3)),
+        ("20240105", D(2024, 1, 5)), ("13/13/2024", None), ("soon", None), ("", None), (None, None),
+    ],
+)
+def test_date_forms(spark, raw, day):
+    assert value(spark, date_of(F.lit(raw).cast("string"))) == day
+
+
+def test_partitioned_output_has_few_files_and_no_single_writer(spark, tmp_path):
+    df = spark.range(20_000).select("id", F.when(F.col("id") % 10 < 7, 1).otherwise(F.col("id") % 5).alias("season")).repartition(40)
+    # Adaptive planning would merge partitions as small as these.
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        datasets.write_partitioned(df, str(tmp_path / "out"), ["season"], files=4)
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    for folder in (tmp_path / "out").glob("season=*"):
+        assert 1 <= len(list(folder.glob("*.parquet"))) <= 4
+    assert len(list((tmp_path / "out" / "season=1").glob("*.parquet"))) > 1
+    assert spark.read.parquet(str(tmp_path / "out")).count() == 20_000
+
+
+def test_required_source_names_the_unknown_entity(spark):
+    ids = spark.createDataFrame([(1,), (2,)], "id int")
+    facts = spark.createDataFrame([(1, D(2024, 1, 1), 5.0)], "id int, d date, v double")
+    args = (ids, "id", facts, facts.where("false"), "d", ["v"], [], F.lit("2024-02-01").cast("date"))
+    assert rows(asof.latest_with_fallback(*args).select("id", "v")) == [(1, 5.0), (2, None)]
+    with pytest.raises(Exception, match="no earlier row for id 2"):
+        asof.latest_with_fallback(*args, required=True).collect()
+
+
+def test_factors_multiply_in_order(spark):
+    steps = [(F.lit(True), 1.1), (F.lit(False), 5.0), (F.lit(None).cast("boolean"), 7.0), (F.lit(True), 0.5)]
+    assert value(spark, sc.multiply_where(F.lit(2.0), steps)) == 2.0 * 1.1 * 0.5
+    assert value(spark, sc.multiply_where(F.lit(None).cast("double"), steps)) is None
