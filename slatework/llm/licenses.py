@@ -129,6 +129,21 @@ def align(a: list, b: list) -> list[tuple[int, int]]:
     return sorted(pairs)
 
 
+def _commonest(marks: np.ndarray, template: list[int], need: int) -> tuple[list[int], int]:
+    """(template words most frequent in the text, how many words besides them a match needs).
+
+    As many are taken as leave half of the needed words, two at least.
+    """
+    times, rest, common = Counter(template), need, []
+    found = np.bincount(marks, minlength=max(template) + 1)
+    for word in sorted(times, key=lambda x: (-found[x], x)):
+        if rest - times[word] < max(2, need // 2):
+            break
+        common.append(word)
+        rest -= times[word]
+    return common, rest
+
+
 class Scanner:
     """Templates prepared for scanning."""
 
@@ -178,20 +193,20 @@ class Scanner:
             own = np.flatnonzero(np.isin(word, template))
             if len(own) < need:
                 continue
-            r, o = row[own], ordinal[own]
-            last = np.arange(len(own)) + need - 1
-            fits = np.zeros(len(own), bool)
-            inside = last < len(own)
-            k = last[inside]
-            fits[inside] = (r[k] == r[inside]) & (o[k] - o[inside] < reach)
+            r, o, w = row[own], ordinal[own], word[own]
+            # Words of the stretch that starts at each mark, all and without the commonest:
+            # those can be aligned no more often than the template holds them.
+            key = (r << 40) + o
+            stop = np.searchsorted(key, key + reach)
+            common, rest = _commonest(w, template, need)
+            rare = np.r_[0, np.cumsum(~np.isin(w, common))]
+            here = np.arange(len(own))
+            fits = (stop - here >= need) & (rare[stop] - rare[here] >= rest)
             after = -1
             for k in np.flatnonzero(fits):
                 if k <= after:
                     continue
-                stop = k + 1
-                while stop < len(own) and r[stop] == r[k] and o[stop] - o[k] < reach:
-                    stop += 1
-                pairs = align(template, word[own[k:stop]].tolist())
+                pairs = align(template, w[k : stop[k]].tolist())
                 # The stretch begins with an aligned word, or a later stretch has the match.
                 if len(pairs) >= need and pairs[0][1] == 0:
                     after = k + pairs[-1][1]
