@@ -106,6 +106,29 @@ def weighted_sum(columns: list[str], weights: dict[str, float]) -> Column:
     return total([F.lit(0.0), *terms])
 
 
+def compare(column: str, op: str, limit: float) -> Column:
+    value = F.col(column)
+    return {"<=": value <= limit, "<": value < limit, "=": value == limit, ">=": value >= limit}[op]
+
+
+def points(
+    weights: dict[str, float] | None = None,
+    shifted: list[tuple] = (),
+    steps: list[tuple[str, str, float, float]] = (),
+) -> Column:
+    """Points of a row by three tables.
+
+    ``weights``: column to weight. ``shifted``: (column, centre, unit, low,
+    high, weight); the distance from the centre in units, kept between the
+    bounds. ``steps``: (column, comparison, limit, points), given where it holds.
+    """
+    terms = [F.col(name) * weight for name, weight in (weights or {}).items()]
+    for name, centre, unit, low, high, weight in shifted:
+        terms.append(clip((F.col(name) - centre) / unit, low, high) * weight)
+    terms += [indicator(compare(*step[:3])) * step[3] for step in steps]
+    return total(terms) if terms else F.lit(0.0)
+
+
 def tie_noise(*parts: Column) -> Column:
     """Repeatable noise below 0.001 to order equal scores."""
     key = F.concat_ws("|", *[F.coalesce(p.cast("string"), F.lit("None")) for p in parts])
