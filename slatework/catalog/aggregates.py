@@ -206,12 +206,12 @@ def _form(top: str) -> str:
 @query("a10_team_means", _form("where batting_order <= 3"))
 def _(t: Tables) -> DataFrame:
     cutoff = F.lit("2000-06-30").cast("date")
-    return features.team_form(t.dt_lineups, _short_roll(t), cutoff, "n", 3)
+    return features.team_form(t.dt_lineups, _short_roll(t), "n", 3, cutoff)
 
 
 @query("a11_plain_group_size", "select game_pk, game_date, team, count(*) as n from dt_lineups group by all")
 def _(t: Tables) -> DataFrame:
-    return features.team_form(t.dt_lineups, t.dt_pa.select("batter_id", "game_date"), F.lit("2001-01-01"), "n")
+    return features.team_form(t.dt_lineups, t.dt_pa.select("batter_id", "game_date"), "n", cutoff=F.lit("2001-01-01"))
 
 
 @query(
