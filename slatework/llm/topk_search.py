@@ -5,8 +5,8 @@ k-th best product with the longest vectors is its threshold. A bucket is skipped
 if even its longest vector, pointing the query's way, stays below the threshold.
 In each other bucket the threshold becomes a local cosine threshold: from
 ``COSINE`` on, rows are pruned by coordinates (two large coordinates of the
-query bound the same coordinates of any row within that angle), below it by
-length alone. Products of the remaining rows are computed exactly.
+query bound the same coordinates of any row within that angle; a coordinate
+beyond the cosine bounds one side only), below it by length alone. Products of the remaining rows are computed exactly.
 
 Queries and vectors meet in blocks, joined by bucket number; the driver reads
 one pair of numbers per bucket. Nothing is cut off: ties at the k-th place are
@@ -154,7 +154,10 @@ class Bucket(Block):
         for coordinate in np.argsort(-np.abs(unit), kind="stable")[:2]:
             middle = unit[coordinate] * local
             reach = np.sqrt(max(0.0, (1 - local**2) * (1 - unit[coordinate] ** 2))) + 1e-9
-            rows = self._range(coordinate, middle - reach, middle + reach)
+            # Within that angle of the axis itself a row may point along it, up to 1 or -1.
+            low = -np.inf if unit[coordinate] <= -local else middle - reach
+            high = np.inf if unit[coordinate] >= local else middle + reach
+            rows = self._range(coordinate, low, high)
             kept = rows if kept is None else np.intersect1d(kept, rows, assume_unique=True)
         return kept[self.norms[kept] >= threshold / norm * slack]
 

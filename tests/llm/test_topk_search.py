@@ -78,3 +78,44 @@ def test_pruning_skips_rows_but_no_answer():
         assert set(np.flatnonzero(scores >= edge)) <= set(left)
         skipped += 400 - len(left)
     assert skipped > 2000
+
+
+def _shapes():
+    import numpy as np
+
+    rng = np.random.default_rng(7)
+    sparse = rng.normal(0, 1, (600, 64)) * (rng.random((600, 64)) < 0.04)
+    peaked = rng.normal(0, 0.1, (600, 12))
+    peaked[np.arange(600), rng.integers(0, 12, 600)] = rng.choice([-1.0, 1.0], 600) * rng.uniform(0.5, 2, 600)
+    return {"sparse": sparse, "peaked": peaked, "low-dimensional": rng.normal(0, 1, (600, 3)), "line": rng.normal(0, 1, (600, 1))}
+
+
+@pytest.mark.parametrize("shape", ["sparse", "peaked", "low-dimensional", "line"])
+def test_rows_near_an_axis_are_found_over_buckets(spark, shape):
+    check(spark, list(enumerate(_shapes()[shape].tolist())), bucket=64)
+
+
+@pytest.mark.parametrize("shape", ["sparse", "peaked", "low-dimensional"])
+def test_pruning_keeps_rows_near_an_axis(shape):
+    import numpy as np
+
+    numbers = np.floor(_shapes()[shape] * 256).astype(np.int64)
+    row = dict(zip(topk_search._NAMES, topk_search._packed(np.arange(600), np.arange(600), list(numbers))))
+    bucket, query = topk_search.Bucket(row), topk_search.Block(row)
+    bucket.meet(query)
+    for q in range(600):
+        scores = numbers @ numbers[q]
+        for edge in np.sort(scores)[[-1, -3, -6]]:
+            assert set(np.flatnonzero(scores >= edge)) <= set(bucket.remaining(query.vectors[q], query.norms[q], edge))
+
+
+def test_a_copy_of_a_peaked_query_is_not_pruned():
+    import numpy as np
+
+    numbers = np.array([[905, 425], [-905, -425]])
+    row = dict(zip(topk_search._NAMES, topk_search._packed(np.arange(2), np.arange(2), list(numbers))))
+    bucket, query = topk_search.Bucket(row), topk_search.Block(row)
+    bucket.meet(query)
+    for q in range(2):
+        edge = 0.6 * query.norms[q] ** 2
+        assert list(bucket.remaining(query.vectors[q], query.norms[q], edge)) == [q]
