@@ -14,9 +14,11 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops the documents without a language: no text, or no letter in it. ``lang`` stays as it is.
 
     Nothing is learned from the third of the ids that the operator's query holds out.
+    If nothing can be learned at all (``lang`` is null wherever it may be used), every
+    document with a letter stays: only null and letterless texts are ever dropped.
     """
     found = language_id.identify(docs, learn=fold(F.col("doc_id"), 3) != 1, keep=docs.columns)
-    return found.where(F.col("lang_pred") != language_id.UNDETERMINED).select(docs.columns)
+    return found.where("has_letter").select(docs.columns)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

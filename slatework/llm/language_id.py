@@ -14,7 +14,7 @@ The fit uses at most ``PER_LANGUAGE`` excerpts of each of the ``MOST_LANGUAGES``
 most frequent languages, chosen by hash of the document id.
 
 Defined results: ``und`` with score 0 if the text is null or has no letter, or
-if nothing could be learned; a tie goes to the alphabetically first language;
+if nothing could be learned (``has_letter`` of ``identify`` tells the two apart); a tie goes to the alphabetically first language;
 repeated rows are returned each; a null ``doc_id`` is never learned from and
 not held out; an empty table gives no rows.
 """
@@ -146,8 +146,10 @@ def sample(docs: DataFrame, id_column: str, text_column: str, label_column: str,
     return [(label, text) for label, _, text in found]
 
 
-def score_batch(model: Model, features: Features, column: pa.Array) -> tuple[list[str], np.ndarray]:
-    """(language, score) per row of a text column."""
+def score_batch(
+    model: Model | None, features: Features | None, column: pa.Array
+) -> tuple[list[str], np.ndarray, np.ndarray]:
+    """(language, score, has a letter) per row of a text column; without a model only letters are sought."""
     data, offsets = text_bytes(column)
     count = len(offsets) - 1
     lengths = np.diff(offsets)
@@ -156,25 +158,26 @@ def score_batch(model: Model, features: Features, column: pa.Array) -> tuple[lis
     within = np.arange(len(row)) - np.repeat(np.cumsum(parts) - parts, parts)
     starts = offsets[row] + within * lengths[row] // parts[row]
     ends = offsets[row] + (within + 1) * lengths[row] // parts[row]
-    totals = np.zeros((count, len(model.languages)))
+    totals = np.zeros((count, len(model.languages) if model else 1))
     letters = np.zeros(count, bool)
     for at in range(0, len(row), _AT_ONCE):
         s, e, r = starts[at : at + _AT_ONCE], ends[at : at + _AT_ONCE], row[at : at + _AT_ONCE]
         part = data[s[0] : e[-1]]
         np.logical_or.at(letters, r, np.logical_or.reduceat(_LETTER[part], s - s[0]))
+        if not model:
+            continue
         presence = features.presence(LOWER[part], s - s[0], e - s[0])
         values = (presence @ model.landmarks) @ model.weights
         np.add.at(totals, r, values * (e - s)[:, None])
+    for k in np.flatnonzero(~letters & (lengths > 0)):
+        letters[k] = any(c.isalpha() for c in column[int(k)].as_py())
+    if not model:
+        return [UNDETERMINED] * count, np.zeros(count), letters
     means = totals / np.maximum(lengths, 1)[:, None]
     best = means.argmax(axis=1)
-    scores = np.clip((means[np.arange(count), best] + 1) / 2, 0, 1)
-    names = []
-    for k in range(count):
-        has = letters[k] or (lengths[k] > 0 and any(c.isalpha() for c in column[k].as_py()))
-        names.append(model.languages[best[k]] if has else UNDETERMINED)
-        if not has:
-            scores[k] = 0.0
-    return names, scores
+    scores = np.where(letters, np.clip((means[np.arange(count), best] + 1) / 2, 0, 1), 0.0)
+    names = [model.languages[b] if has else UNDETERMINED for b, has in zip(best, letters)]
+    return names, scores, letters
 
 
 def identify(
@@ -188,7 +191,9 @@ def identify(
 ) -> DataFrame:
     """(doc_id, lang_pred, score) per input row, learned from the rows where ``learn`` holds.
 
-    With ``keep`` those columns are returned in place of doc_id.
+    With ``keep`` those columns are returned in place of doc_id, and ``has_letter``
+    is added: false for a null text and for one without a letter, whether or not
+    anything could be learned.
     """
     learn = F.col(id_column).isNotNull() if learn is None else F.coalesce(learn, F.lit(False))
     model = fit_excerpts(sample(docs, id_column, text_column, label_column, learn, per_language))
@@ -207,21 +212,18 @@ def identify(
         own = shared.value and Model(**shared.value)
         features = Features(own.grams) if own else None
         for column in columns:
-            if own:
-                found, scores = score_batch(own, features, column)
-            else:
-                found, scores = [UNDETERMINED] * len(column), np.zeros(len(column))
-            yield [pa.array(found, pa.string()), pa.array(scores, pa.float64())]
+            found, scores, letters = score_batch(own, features, column)
+            yield [pa.array(found, pa.string()), pa.array(scores, pa.float64()), pa.array(letters)]
 
     if keep is not None:
         # Only the text goes to Python and only the answer comes back.
         def answer(columns: Iterator[pa.Array]) -> Iterator[pa.Array]:
-            for pair in predicted(columns):
-                yield pa.StructArray.from_arrays(pair, ["lang_pred", "score"])
+            for three in predicted(columns):
+                yield pa.StructArray.from_arrays(three, ["lang_pred", "score", "has_letter"])
 
-        call = F.arrow_udf(answer, "lang_pred string, score double")
+        call = F.arrow_udf(answer, "lang_pred string, score double, has_letter boolean")
         found = docs.withColumn("_found", call(F.col(text_column)))
-        return found.select(*[F.col(f"`{c}`") for c in keep], "_found.lang_pred", "_found.score")
+        return found.select(*[F.col(f"`{c}`") for c in keep], "_found.lang_pred", "_found.score", "_found.has_letter")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[pa.Array] = []
@@ -231,8 +233,8 @@ def identify(
                 held.append(batch.column(0))
                 yield batch.column(1)
 
-        for pair in predicted(texts()):
-            yield pa.RecordBatch.from_arrays([held.pop(), *pair], ["doc_id", "lang_pred", "score"])
+        for found, scores, _ in predicted(texts()):
+            yield pa.RecordBatch.from_arrays([held.pop(), found, scores], ["doc_id", "lang_pred", "score"])
 
     chosen = docs.select(F.col(id_column).alias("doc_id"), F.col(text_column).alias("text"))
     return chosen.mapInArrow(run, schema)

@@ -1,5 +1,7 @@
 import re
 
+from pyspark.sql import functions as F
+
 import corpus_pipeline
 from slatework.llm import secret_ledger
 from tests.llm import brute, cases
@@ -82,3 +84,18 @@ def test_redaction(spark):
     out = {r.doc_id: r.text for r in secret_ledger.redact(docs).collect()}
     assert out == {k: redacted(t) for k, t in enumerate(texts)}
     assert "clean" in out.values() and not re.search("deadbeef", out[0])
+
+
+def test_documents_with_letters_stay_when_no_language_is_known(spark):
+    from slatework.llm.sampling import fold
+
+    texts = ["plain words", "日本語", "É", None, "", " 12 3.4 !", "x"]
+    rows = [(d, t, None, "s", 1) for d, t in [*enumerate(texts), (None, "no id"), (None, None)]]
+    kept = sorted((r[:2] for r in rows if has_letter(r[1])), key=repr)
+    docs = spark.createDataFrame(rows, COLUMNS)
+    assert sorted((tuple(r)[:2] for r in corpus_pipeline.language(spark, docs, "").collect()), key=repr) == kept
+    # Labels exist, but only where the query holds out.
+    held = spark.range(60).where(fold(F.col("id"), 3) == 1).selectExpr(
+        "id as doc_id", "'some words' as text", "'en' as lang", "'s' as source", "1L as n_chars"
+    )
+    assert held.count() and corpus_pipeline.language(spark, held, "").count() == held.count()
