@@ -21,24 +21,39 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return found.where("has_letter").select(docs.columns)
 
 
+def _keyed(docs: DataFrame) -> tuple[DataFrame, str]:
+    """(documents with a unique number per row, written; name of the number's column).
+
+    Ids may be null or repeated, so stages judge rows by this number. It is
+    written because two readings of one plan need not number rows alike.
+    """
+    taken, key = {c.lower() for c in docs.columns}, "row_key"
+    while key in taken:
+        key = "_" + key
+    return stage(docs.withColumn(key, F.monotonically_increasing_id()), "keyed-documents"), key
+
+
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps the document of the smallest id of each near-duplicate group.
+    """Keeps one row of each near-duplicate group: that of the smallest id.
 
-    Of several rows with that id one stays. Rows without an id cannot be named
-    by a group and are kept.
+    Of several rows with that id one stays. Rows without an id come after all
+    others, so one of them stays only if no row of the group has an id.
     """
-    found = simhash.near_duplicates(docs)
-    kept = found.where(F.col("doc_id") == F.col("component_id")).select("doc_id").distinct()
-    named = docs.join(kept, "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    return named.unionByName(docs.where(F.col("doc_id").isNull())).select(docs.columns)
+    keyed, key = _keyed(docs)
+    # As the operator's id: groups are named by their first row, and every row has a place.
+    place = F.struct(F.col("doc_id").isNull().alias("unnamed"), F.col("doc_id").alias("id"), F.col(key).alias("row"))
+    found = simhash.near_duplicates(keyed.select(place.alias("place"), "text"), id_column="place")
+    kept = found.where("doc_id.row = component_id.row").select(F.col("doc_id.row").alias(key))
+    return keyed.join(kept, key, "left_semi").select(docs.columns)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drops the documents that the contamination rule marks."""
+    """Drops exactly the rows that the contamination rule marks."""
     benchmark = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
-    found = decontaminate.contamination(docs, benchmark)
-    marked = found.where("contaminated").select("doc_id").distinct()
-    return docs.join(marked, docs["doc_id"].eqNullSafe(marked["doc_id"]), "left_anti").select(docs.columns)
+    keyed, key = _keyed(docs)
+    found = decontaminate.contamination(keyed, benchmark, id_column=key)
+    marked = found.where("contaminated").select(F.col("doc_id").alias(key))
+    return keyed.join(marked, key, "left_anti").select(docs.columns)
 
 
 def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -99,3 +99,37 @@ def test_documents_with_letters_stay_when_no_language_is_known(spark):
         "id as doc_id", "'some words' as text", "'en' as lang", "'s' as source", "1L as n_chars"
     )
     assert held.count() and corpus_pipeline.language(spark, held, "").count() == held.count()
+
+
+def _rows(spark, pairs):
+    return spark.createDataFrame([(*r, "en", "s", 1) for r in pairs], COLUMNS).repartition(3)
+
+
+def _kept(df):
+    return sorted((tuple(r)[:2] for r in df.collect()), key=repr)
+
+
+def test_near_duplicates_keep_one_row_of_every_group(spark):
+    a, b, c, d, e = (" ".join(f"{x}{k} {x}y{k * k}" for k in range(60)) for x in "abcde")
+    rows = [(1, a), (1, b), (2, a), (2, c), (2, c), (None, a), (None, d), (None, d), (None, e), (7, e), (0, b + " tail")]
+    keep = [(1, a), (0, b + " tail"), (2, c), (None, d), (7, e)]
+    near = (brute.simhash(b) ^ brute.simhash(b + " tail")).bit_count() <= 3
+    keep += [] if near else [(1, b)]
+    assert _kept(corpus_pipeline.near_duplicates(spark, _rows(spark, rows), "")) == sorted(keep, key=repr)
+
+
+def test_decontamination_drops_exactly_the_contaminated_rows(spark, tmp_path):
+    passage = " ".join(f"bench{k}" for k in range(20))
+    spark.createDataFrame([(1, passage)], "item_id bigint, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    clean = [(None, "clean without id"), (None, "another clean one"), (None, None), (4, "clean four"), (4, "also four"), (5, "five")]
+    dirty = [(None, passage), (4, "so " + passage), (4, passage), (6, passage)]
+    out = corpus_pipeline.decontamination(spark, _rows(spark, clean + dirty), str(tmp_path))
+    assert _kept(out) == sorted(clean, key=repr)
+
+
+def test_columns_named_like_the_row_key(spark, tmp_path):
+    docs = _rows(spark, [(1, "some words"), (1, "other things")]).withColumn("Row_Key", F.lit(0))
+    spark.createDataFrame([], "item_id bigint, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    for step in (corpus_pipeline.near_duplicates, corpus_pipeline.decontamination):
+        out = step(spark, docs, str(tmp_path))
+        assert out.columns == docs.columns and _kept(out) == [(1, "other things"), (1, "some words")]
