@@ -45,8 +45,9 @@ class Encoder:
 
     The byte-level vocabulary never merges across pre-tokens, so the ids of a
     text are those of its pre-tokens in order. Each distinct pre-token is
-    encoded once by ``tokenizers`` and remembered. Strings that look like
-    special tokens are ordinary text.
+    encoded once by ``tokenizers`` and remembered. The file's added tokens
+    (``<|endoftext|>``) are cut out first and keep their own ids, as in
+    ``tokenizers``; what lies between two of them is pre-tokenised for itself.
     """
 
     def __init__(self, vocabulary: str):
@@ -55,9 +56,21 @@ class Encoder:
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         self._tokenizer = Tokenizer.from_file(vocabulary)
-        self._tokenizer.encode_special_tokens = True
         self._find = regex.compile(_RULE).findall
         self._known: dict[str, bytes] = {}
+        added = self._tokenizer.get_added_tokens_decoder().values()
+        if any(t.lstrip or t.rstrip or t.single_word for t in added) or self._tokenizer.normalizer:
+            raise ValueError("added tokens that take white space or whole words, and normalizers, are not supported")
+        # Leftmost first, longest first: the order in which tokenizers finds them.
+        self._added = sorted((t.content for t in added if t.content), key=len, reverse=True)
+        self._cut = regex.compile("(" + "|".join(map(regex.escape, self._added)) + ")").split if self._added else None
+
+    def _words(self, text: str) -> list[str]:
+        if self._cut is None or not any(token in text for token in self._added):
+            return self._find(text)
+        # Every second part is an added token.
+        parts = self._cut(text)
+        return [word for k, part in enumerate(parts) for word in ([part] if k % 2 else self._find(part))]
 
     def __call__(self, texts: list[str]) -> Iterator[bytes]:
         at = 0
@@ -66,7 +79,7 @@ class Encoder:
             while end < len(texts) and (end == at or size + len(texts[end]) < 1 << 20):
                 size += len(texts[end])
                 end += 1
-            found = [self._find(text) for text in texts[at:end]]
+            found = [self._words(text) for text in texts[at:end]]
             if len(self._known) > REMEMBERED:
                 self._known.clear()
             missing = list(set().union(*found).difference(self._known))
