@@ -10,14 +10,17 @@ from pyspark.sql import functions as F
 from slatework.llm import (
     decontaminate,
     extraction,
+    fill_in_middle,
     language_id,
     licenses,
     ngram_lm,
     packing,
     secret_ledger,
     simhash,
+    token_counts,
     topk_search,
     toxicity,
+    whitening,
 )
 
 
@@ -66,6 +69,18 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_id.predictions(_table(spark, sf_dir, "documents"))
 
 
+def op11_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(_table(spark, sf_dir, "embeddings"))
+
+
+def op12_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fill_in_middle.digest(_table(spark, sf_dir, "documents"))
+
+
+def op13_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts.token_counts(_table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     every = (
         op1_packing,
@@ -78,6 +93,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         op8_toxicity,
         op9_lm_scores,
         op10_language_id,
+        op11_embedding_whitening,
+        op12_fill_in_middle,
+        op13_token_counts,
     )
     return {f.__name__: f for f in every}
 
@@ -159,6 +177,39 @@ from docs left join spans using (uid)
 """
 
 
+def _group(number: int) -> str:
+    return f"cast(('0x' || substr(h, {8 * number + 1}, 8)) as ubigint)"
+
+
+_OP12_SQL = f"""
+with docs as (
+ select doc_id, coalesce(text, '') as text, sha256(concat('1:', coalesce(cast(doc_id as varchar), ''))) as h
+ from documents),
+units as (
+ select doc_id, text, regexp_extract_all(text, '[A-Za-z]+|[^A-Za-z]') as u,
+  {_group(0)} as h1, {_group(1)} as h2, {_group(2)} as h3, {_group(3)} as h4 from docs),
+ranks as (
+ select doc_id, text, u, cast(len(u) as bigint) as n, h1 % (len(u) + 1) as a, h2 % (len(u) + 1) as b,
+  case when text = '' or contains(text, '<P>') or contains(text, '<S>') or contains(text, '<M>') or h3 % 100 >= 90
+   then 'plain' when h4 % 100 < 20 then 'spm' else 'psm' end as form from units),
+parts as (
+ select doc_id, text, n, form, array_to_string(u[1:least(a, b)], '') as p,
+  array_to_string(u[least(a, b) + 1:greatest(a, b)], '') as m, array_to_string(u[greatest(a, b) + 1:], '') as s
+ from ranks)
+select doc_id, n, form, case when form <> 'plain' then cast(length(p) as bigint) end as prefix_chars,
+ case when form <> 'plain' then cast(length(m) as bigint) end as middle_chars,
+ sha256(case form when 'plain' then text when 'psm' then concat('<P>', p, '<S>', s, '<M>', m)
+  else concat('<S>', s, '<P>', p, '<M>', m) end) as output_sha256,
+ sha256(text) as restored_sha256
+from parts
+"""
+
+
 def oracle_sql() -> dict[str, str]:
     """Exact joins, products and patterns; the other queries hash, tokenise or learn and are tested in tests/llm."""
-    return {"op3_decontamination": _OP3_SQL, "op5_topk_search": _OP5_SQL, "op7_secret_scan": _op7_sql()}
+    return {
+        "op3_decontamination": _OP3_SQL,
+        "op5_topk_search": _OP5_SQL,
+        "op7_secret_scan": _op7_sql(),
+        "op12_fill_in_middle": _OP12_SQL,
+    }
