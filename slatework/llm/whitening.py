@@ -47,6 +47,8 @@ WIDEST = 48
 #: columns of a pass rather than passes.
 GUARDS = 4
 INNER_STEPS = 4
+#: Entries that one task of a pass reads (32 MB as doubles), so that partial sums stay fewer than entries.
+TASK_ENTRIES = 4 << 20
 _EPS = float(np.finfo(float).eps)
 _LONG = float(2**63)
 
@@ -145,7 +147,10 @@ def fit_list(vectors: DataFrame) -> Fit | None:
         .agg(F.sum(F.col("entry").cast("decimal(38,0)")).alias("total"))
     )
     found = {r["place"]: int(r["total"]) for r in sums.collect()}  # one row a dimension
-    return Fit(distinct, distinct.count(), [found[k] for k in range(len(found))]) if found else None
+    if not found:
+        return None
+    n = distinct.count()
+    return Fit(distinct.coalesce(-(-n * len(found) // TASK_ENTRIES)), n, [found[k] for k in range(len(found))])
 
 
 def _without(basis: np.ndarray, v: np.ndarray) -> np.ndarray:
