@@ -12,8 +12,10 @@ read; an empty table gives no pieces.
 
 from __future__ import annotations
 
-import os
+import sys
+import types
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -21,56 +23,66 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from slatework.llm.pretokens import PreTokens, default_vocabulary
+
 LONGEST = 1024
 CLOSING_ID = 0
-#: Words whose ids a Python worker remembers; the memory starts anew beyond it.
+#: Words whose ids a Python worker remembers, and their characters together. It does so twice:
+#: for the words lately used, and for those used before them.
 REMEMBERED = 300_000
+REMEMBERED_CHARACTERS = 16 << 20
+
+
+class _Words(dict):
+    """Places of words, and the ids at each place. A new word gets a place when asked for."""
+
+    def __init__(self):
+        self.asked: list[str] = []  # new words whose ids are not known yet
+        self.characters = 0
+        self.starts, self.lengths = np.zeros(0, np.int64), np.zeros(0, np.int64)
+        self.flat = np.zeros(0, "<u4")
 
-# The pre-tokenisation rule of the byte-level vocabulary (a fixed value), with
-# white space spelled out by its Unicode property.
-_RULE = (
-    r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\p{White_Space}\p{L}\p{N}]+"
-    r"|\p{White_Space}+(?!\P{White_Space})|\p{White_Space}+"
-)
+    def __missing__(self, word: str) -> int:
+        place = self[word] = len(self)
+        self.asked.append(word)
+        return place
 
+    def places(self, words) -> np.ndarray:
+        return np.fromiter(map(self.__getitem__, words), np.int64)
 
-def default_vocabulary() -> str:
-    import public_tokenizers
+    def learn(self, words: list[str], flat: np.ndarray, lengths: np.ndarray) -> None:
+        """``flat`` holds the ids of ``words`` one after the other."""
+        more = len(self) - len(self.starts)
+        self.starts, self.lengths = (np.append(x, np.zeros(more, np.int64)) for x in (self.starts, self.lengths))
+        places = self.places(words)
+        self.starts[places] = len(self.flat) + np.cumsum(lengths) - lengths
+        self.lengths[places] = lengths
+        self.flat = np.append(self.flat, flat)
+        self.characters += sum(map(len, words))
 
-    return public_tokenizers.path("byte_bpe_50k.json")
+    def ids(self, places: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(ids one after the other, number of ids at each place)."""
+        lengths = self.lengths[places]
+        ends = np.cumsum(lengths)
+        shift = np.repeat(self.starts[places] - (ends - lengths), lengths)
+        return self.flat[shift + np.arange(len(shift))], lengths
+
+    @property
+    def full(self) -> bool:
+        return len(self) > REMEMBERED or self.characters > REMEMBERED_CHARACTERS
 
 
 class Encoder:
     """Token ids of whole texts as packed little-endian unsigned 32-bit numbers.
 
     The byte-level vocabulary never merges across pre-tokens, so the ids of a
-    text are those of its pre-tokens in order. Each distinct pre-token is
-    encoded once by ``tokenizers`` and remembered. The file's added tokens
-    (``<|endoftext|>``) are cut out first and keep their own ids, as in
-    ``tokenizers``; what lies between two of them is pre-tokenised for itself.
+    text are those of its pre-tokens in order. A distinct pre-token is encoded
+    once by ``tokenizers`` and remembered.
     """
 
     def __init__(self, vocabulary: str):
-        import regex
-        from tokenizers import Tokenizer
-
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        self._tokenizer = Tokenizer.from_file(vocabulary)
-        self._find = regex.compile(_RULE).findall
-        self._known: dict[str, bytes] = {}
-        added = self._tokenizer.get_added_tokens_decoder().values()
-        if any(t.lstrip or t.rstrip or t.single_word for t in added) or self._tokenizer.normalizer:
-            raise ValueError("added tokens that take white space or whole words, and normalizers, are not supported")
-        # Leftmost first, longest first: the order in which tokenizers finds them.
-        self._added = sorted((t.content for t in added if t.content), key=len, reverse=True)
-        self._cut = regex.compile("(" + "|".join(map(regex.escape, self._added)) + ")").split if self._added else None
-
-    def _words(self, text: str) -> list[str]:
-        if self._cut is None or not any(token in text for token in self._added):
-            return self._find(text)
-        # Every second part is an added token.
-        parts = self._cut(text)
-        return [word for k, part in enumerate(parts) for word in ([part] if k % 2 else self._find(part))]
+        self._cut = PreTokens(vocabulary)
+        self._known, self._before = _Words(), _Words()
 
     def __call__(self, texts: list[str]) -> Iterator[bytes]:
         at = 0
@@ -79,20 +91,34 @@ class Encoder:
             while end < len(texts) and (end == at or size + len(texts[end]) < 1 << 20):
                 size += len(texts[end])
                 end += 1
-            found = [self._words(text) for text in texts[at:end]]
-            if len(self._known) > REMEMBERED:
-                self._known.clear()
-            missing = list(set().union(*found).difference(self._known))
-            for k in range(0, len(missing), 4096):
-                part = missing[k : k + 4096]
-                encoded = self._tokenizer.encode_batch_fast(part, add_special_tokens=False)
-                for word, item in zip(part, encoded):
-                    self._known[word] = np.array(item.ids, "<u4").tobytes()
-            for words in found:
-                yield b"".join(map(self._known.__getitem__, words))
+            found = [self._cut(text) for text in texts[at:end]]
+            if self._known.full:
+                self._known, self._before = _Words(), self._known
+            known, before = self._known, self._before
+            places = known.places(chain.from_iterable(found))
+            asked, known.asked = known.asked, []
+            again = [word for word in asked if word in before]
+            known.learn(again, *before.ids(before.places(again)))
+            missing = [word for word in asked if word not in before]
+            known.learn(missing, *self._cut.ids(missing))
+            flat, lengths = known.ids(places)
+            stops = np.append(0, np.cumsum(lengths))[np.cumsum([0, *map(len, found)])]
+            for start, stop in zip(stops[:-1].tolist(), stops[1:].tolist()):
+                yield flat[start:stop].tobytes()
             at = end
 
 
+def worker_encoder(vocabulary: str) -> Encoder:
+    """The Python worker's encoder of this vocabulary: what it remembers serves later tasks too."""
+    # Functions travel by value, so only a module of the interpreter outlives a task.
+    kept = sys.modules.setdefault("slatework_worker_encoders", types.ModuleType("slatework_worker_encoders"))
+    encoder = getattr(kept, "by_vocabulary", {}).get(vocabulary)
+    if encoder is None:
+        encoder = Encoder(vocabulary)
+        kept.by_vocabulary = {vocabulary: encoder}
+    return encoder
+
+
 def piece_lengths(tokens: int, longest: int = LONGEST) -> list[int]:
     """``longest`` as often as it fits, then the binary digits of the rest, largest first."""
     rest = tokens % longest
@@ -124,7 +150,7 @@ def split_documents(
     closing = np.array([CLOSING_ID], "<u4").tobytes()
 
     def pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = Encoder(path)
+        encoder = worker_encoder(path)
         for batch in batches:
             if not batch.num_rows:
                 continue
@@ -168,15 +194,15 @@ def split_documents(
 def assign_sequences(pieces: DataFrame) -> DataFrame:
     """Adds ``sequence_id`` (unique) and ``offset`` (0: a piece is a whole sequence).
 
-    Pieces are dealt evenly by hash and sorted by length, the bucket, inside a
-    partition. All columns take part in the sort, so a task that runs again
-    numbers the same rows alike; rows that agree everywhere are interchangeable.
+    Pieces are numbered where they were made, sorted by length, the bucket,
+    inside a partition, so no id is shuffled. All columns take part in the sort,
+    so a task that runs again numbers the same rows alike; rows that agree
+    everywhere are interchangeable.
     """
     first = ["length", "doc_id", "start"]
     rest = [c for c in pieces.columns if c not in first]
     return (
-        pieces.repartition("doc_id", "start")
-        .sortWithinPartitions(*first, *rest)
+        pieces.sortWithinPartitions(*first, *rest)
         .withColumn("sequence_id", F.monotonically_increasing_id())
         .withColumn("offset", F.lit(0).cast("long"))
     )

@@ -47,6 +47,8 @@ def test_every_code_point_splits_like_the_tokenizer():
     tokenizer = Tokenizer.from_file(path)
     encoder = packing.Encoder(path)
     points = [c for c in range(0x110000) if not 0xD800 <= c < 0xE000]
+    # Also without the characters that send a text to the general rule.
+    points = [c for c in points if c < 0x80 or encoder._cut._only_latin(chr(c))] + points
     texts = ["".join(f"a{chr(c)}b {chr(c)}1{chr(c)} {chr(c)}  x" for c in points[k : k + 500]) for k in range(0, len(points), 500)]
     for text, mine in zip(texts, encoder(texts)):
         theirs = tokenizer.encode(text, add_special_tokens=False).ids
