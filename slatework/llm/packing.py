@@ -29,8 +29,8 @@ LONGEST = 1024
 CLOSING_ID = 0
 #: Words whose ids a Python worker remembers, and their characters together. It does so twice:
 #: for the words lately used, and for those used before them.
-REMEMBERED = 300_000
-REMEMBERED_CHARACTERS = 16 << 20
+REMEMBERED = 600_000
+REMEMBERED_CHARACTERS = 24 << 20
 
 
 class _Words(dict):
