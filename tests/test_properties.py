@@ -1,6 +1,8 @@
 """Leakage, input order and partitioning, and the ways taken for hot groups."""
 
 import datetime as dt
+import math
+import random
 
 import pytest
 from pyspark.sql import Window
@@ -108,7 +110,25 @@ def test_ordinal_over_text_and_nulls(skewed):
 def test_medians_equal_sorted_middle(skewed):
     df = skewed.withColumn("w", F.when(F.col("game") % 4 == 0, F.col("v") / 7)).withColumn("x", F.lit(None).cast("double"))
     plain = df.groupBy("who").agg(*[F.median(c).alias(c) for c in ("v", "w", "x")])
-    assert collected(plain, "who") == collected(slates.group_medians(df, ["who"], ["v", "w", "x"]), "who")
+    for group_rows in (10**6, 50, 1):
+        got = slates.group_medians(df, ["who"], ["v", "w", "x"], group_rows=group_rows)
+        assert collected(plain, "who") == collected(got, "who")
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_selected_medians_of_odd_values(spark, seed):
+    """Signs, zeros, neighbours in the last bit, denormal, huge, infinite and NaN values; null keys."""
+    rng = random.Random(seed)
+    pool = [0.0, -0.0, 5e-324, -5e-324, 1e-310, 1.0, math.nextafter(1.0, 2), math.nextafter(1.0, 0), 2.0, 8.0, -8.0, 1e300, -1e300, 0.1]
+    pool += [float("inf"), float("nan")] if seed % 2 else []
+    pool += [rng.uniform(-3, 3) for _ in range(6)] + [1 + k * 2.0**-52 for k in range(5)] + [None]
+    rows = [(rng.choice(["a", "b", None]), rng.choice(pool), float(rng.randrange(3))) for _ in range(400)]
+    df = spark.createDataFrame(rows, "who string, v double, w double").repartition(5)
+    plain = df.groupBy("who").agg(F.median("v").alias("v"), F.median("w").alias("w"))
+    want = {r.who: (repr(r.v), r.w) for r in plain.collect()}
+    got = {r.who: (repr(r.v), r.w) for r in slates.group_medians(df, ["who"], ["v", "w"], group_rows=10).collect()}
+    # A median that is zero may have either sign.
+    assert {k: (v.replace("-0.0", "0.0"), w) for k, (v, w) in got.items()} == {k: (v.replace("-0.0", "0.0"), w) for k, (v, w) in want.items()}
 
 
 def test_later_form_never_reaches_an_earlier_game(spark):
