@@ -29,38 +29,57 @@ def asof_join(
     entity or a date are dropped; entities the right side does not know keep
     null values. Of several right rows on one date the last by ``tie`` counts.
 
-    The distinct (entity, date) pairs of the left side and the right rows, one
-    per date, are stacked, and one window carries the last right row forward: no
-    range join, and a window sees two rows per date at most. Left rows get their
-    pair's answer by an equi-join, which the adaptive planner can split.
+    The distinct (entity, date) pairs of both sides are stacked, and one window
+    carries the last date with a right row forward: no range join, and a window
+    sees two narrow rows per date at most, however many ``values`` there are.
+    Those are fetched afterwards by an equi-join on (entity, date found), which
+    uses the partitioning by which the right rows were reduced to one per date.
     """
     right_by, right_on, rename = right_by or by, right_on or on, rename or {}
-    known = right.filter(F.col(right_by).isNotNull() & F.col(right_on).isNotNull())
-    reduced = last_per_key(known, [right_by, right_on], list(tie)) if tie else known
     out = [rename.get(v, v) for v in values]
     kept = [c for c in left.columns if c not in out]
     rows = left.filter(F.col(by).isNotNull() & F.col(on).isNotNull()).select(*kept)
-    asked = rows.select(F.col(by).alias("_id"), F.col(on).alias("_at")).distinct().select(
-        "*", F.lit(None).cast(reduced.select(F.struct(*values)).schema[0].dataType).alias("_right")
+    right_rows = _one_per_date(right, left, by, on, values, right_by, right_on, tie)
+    return _with_found(rows, rows, right_rows, by, on, strict, segment_rows).select(
+        *[F.col(f"`{c}`") for c in kept], *[F.col(f"_value{i}").alias(o) for i, o in enumerate(out)]
     )
-    facts = reduced.select(
-        F.col(right_by).cast(left.schema[by].dataType).alias("_id"),
-        F.col(right_on).cast(left.schema[on].dataType).alias("_at"),
-        F.struct(*values).alias("_right"),
+
+
+def _one_per_date(right, left, by, on, values, right_by, right_on, tie) -> tuple[DataFrame, DataFrame]:
+    """(_key, _on, _value0, ...) in the types of the left side, the last right row per key and date; and its pairs."""
+    known = right.select(
+        F.col(right_by).cast(left.schema[by].dataType).alias("_key"),
+        F.col(right_on).cast(left.schema[on].dataType).alias("_on"),
+        F.col(right_on).alias("_exact"),
+        *[F.col(t).alias(f"_tie{i}") for i, t in enumerate(tie)],
+        *[F.col(v).alias(f"_value{i}") for i, v in enumerate(values)],
     )
+    order = ["_exact", *[f"_tie{i}" for i in range(len(tie))]]
+    known = known.filter(F.col("_key").isNotNull() & F.col("_on").isNotNull())
+    return last_per_key(known, ["_key", "_on"], order).drop(*order), known.select("_key", "_on").distinct()
+
+
+def _with_found(
+    rows: DataFrame, asking: DataFrame, right_rows: tuple[DataFrame, DataFrame], by: str, on: str, strict: bool, segment_rows: int
+) -> DataFrame:
+    """``rows`` with the right row found for the pairs of ``asking``; others get nulls."""
+    reduced, dates = right_rows
+    kind = asking.schema[on].dataType
+    asked = asking.select(F.col(by).alias("_id"), F.col(on).alias("_at")).distinct()
+    facts = dates.select(F.col("_key").alias("_id"), F.col("_on").alias("_at"), F.col("_on").alias("_right"))
     # Strict: at one date the question comes first, so it does not see the date's right row.
     side = F.col("_right").isNotNull().cast("int")
-    both = asked.unionByName(facts).withColumn("_side", side if strict else 1 - side)
-    if isinstance(left.schema[on].dataType, T.DateType):
+    both = asked.withColumn("_right", F.lit(None).cast(kind)).unionByName(facts).withColumn("_side", side if strict else 1 - side)
+    if isinstance(kind, T.DateType):
         # Two rows per calendar day at most: an entity fits one task.
         order = Window.partitionBy("_id").orderBy("_at", "_side")
         carried = both.withColumn("_found", F.last("_right", ignorenulls=True).over(order))
     else:
         carried = _carried(both, segment_rows)
     found = carried.filter("_right is null").select("_id", "_at", "_found")
-    joined = rows.join(found, (F.col(by) == F.col("_id")) & (F.col(on) == F.col("_at")), "left")
-    return joined.select(
-        *[F.col(f"`{c}`") for c in kept], *[F.col("_found").getField(v).alias(o) for v, o in zip(values, out)]
+    placed = rows.join(found, (F.col(by) == F.col("_id")) & (F.col(on) == F.col("_at")), "left")
+    return placed.join(reduced, (F.col("_id") == F.col("_key")) & (F.col("_found") == F.col("_on")), "left").drop(
+        "_id", "_at", "_found", "_key", "_on"
     )
 
 
@@ -114,14 +133,10 @@ def latest_by_row(
     Rows without an entity or a date, and entities that the right side does not
     know, get nulls.
     """
-    asked = left.select(F.col(left_by).alias("_latest_id"), F.col(on).alias("_latest_on")).distinct()
-    named = {v: f"_latest_{v}" for v in values}
-    found = asof_join(
-        asked, right, "_latest_id", "_latest_on", values, right_by=by, right_on=on, tie=tie, strict=strict, rename=named
-    )
-    both = (F.col(left_by) == F.col("_latest_id")) & (F.col(on) == F.col("_latest_on"))
-    return left.join(found, both, "left").drop("_latest_id", "_latest_on").withColumnsRenamed(
-        {named[v]: prefix + v for v in values}
+    dated = left.filter(F.col(left_by).isNotNull() & F.col(on).isNotNull())
+    right_rows = _one_per_date(right, left, left_by, on, values, by, on, tie)
+    return _with_found(left, dated, right_rows, left_by, on, strict, SEGMENT_ROWS).withColumnsRenamed(
+        {f"_value{i}": prefix + v for i, v in enumerate(values)}
     )
 
 
