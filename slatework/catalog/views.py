@@ -79,14 +79,14 @@ _IDS = ["game_pk", "player_id", "batting_order", "opp_pitcher_id"]
 
 
 def bat_rolls(t: Tables) -> DataFrame:
-    """Rolling table; like the game table below it, written once and read by several passes."""
+    """Profile of the rolling table; like the game table below it, written once and read by several passes."""
     games = stage(gametables.batter_contact_game(t.dt_flags), "batter_games")
-    return stage(gametables.add_contact_batter_rolls(games), "batter_rolls")
+    return stage(features.batter_profile_rolls(games), "batter_rolls")
 
 
 def pit_rolls(t: Tables) -> DataFrame:
     games = stage(gametables.pitcher_contact_game(t.dt_flags), "pitcher_games")
-    return stage(gametables.add_contact_pitcher_rolls(games), "pitcher_rolls")
+    return stage(features.pitcher_profile_rolls(games), "pitcher_rolls")
 
 
 def player_history(t: Tables) -> DataFrame:

@@ -111,33 +111,42 @@ def resolve_ids(
     """Fill missing ids tier by tier and record which tier did it.
 
     ``tiers`` lists (lookup type, method label). A null team matches a null
-    team. The lookup is reduced to unambiguous keys first, so no row fans out.
-    Each tier is one left join on (key, team).
+    team; the team-less type matches whatever the team. Ambiguous keys of the
+    lookup are left out, so no row fans out.
+
+    The distinct (name, team) pairs of the rows are written as one probe per
+    tier and joined with the lookup once; the best tier of a pair is a minimum.
+    The rows themselves are moved once, whatever the number of tiers.
     """
-    unique = unambiguous(lookup, ["lookup_key", "lookup_type", "team"], id_col)
-    out = df.withColumns({"_key": key, "_team": F.upper(F.trim("team"))})
-    found: list[tuple[Column, str]] = []
-    for i, (kind, label) in enumerate(tiers):
-        tier_key = {INITIAL: initial_last_of, LAST: last_name_of}.get(kind, lambda k: k)(F.col("_key"))
-        side = unique.filter(F.col("lookup_type") == kind).select(
-            F.col("lookup_key").alias(f"_k{i}"),
-            F.upper("team").alias(f"_t{i}"),
-            F.col(id_col).alias(f"_id{i}"),
+    kinds = [kind for kind, _ in tiers]
+
+    def place(team: Column, anywhere) -> Column:
+        """A team as text that is never null, so that joins stay plain equalities."""
+        return F.when(anywhere, "").otherwise(F.coalesce(F.concat(F.lit("="), F.upper(team)), F.lit("-")))
+
+    listed = lookup.filter(F.col("lookup_type").isin(kinds)).select(
+        "lookup_key", "lookup_type", place(F.col("team"), F.col("lookup_type") == ANYWHERE).alias("_place"), id_col
+    )
+    unique = unambiguous(listed, ["lookup_key", "lookup_type", "_place"], id_col).withColumnRenamed(id_col, "_id")
+    rows = df.withColumns({"_key": key, "_at": place(F.trim("team"), F.lit(False))})
+    pairs = rows.select("_key", "_at").filter(F.col("_key").isNotNull()).distinct()
+    probes = [
+        F.struct(
+            F.lit(i).alias("_tier"),
+            F.lit(kind).alias("lookup_type"),
+            {INITIAL: initial_last_of, LAST: last_name_of}.get(kind, lambda k: k)(F.col("_key")).alias("lookup_key"),
+            (F.lit("") if kind == ANYWHERE else F.col("_at")).alias("_place"),
         )
-        cond = F.col(f"_q{i}") == F.col(f"_k{i}")
-        if kind != ANYWHERE:
-            cond = cond & F.col("_team").eqNullSafe(F.col(f"_t{i}"))
-        out = out.withColumn(f"_q{i}", tier_key).join(side, cond, "left")
-        found.append((F.col(f"_id{i}"), label))
+        for i, kind in enumerate(kinds)
+    ]
+    hits = pairs.select("_key", "_at", F.inline(F.array(*probes))).join(unique, ["lookup_key", "lookup_type", "_place"])
+    best = hits.groupBy("_key", "_at").agg(F.min(F.struct("_tier", "_id")).alias("_best"))
+    out = rows.join(best, ["_key", "_at"], "left")
     given = F.col(id_col).cast("bigint") if id_col in df.columns else F.lit(None).cast("bigint")
-    method = F.when(given.isNotNull(), "unresolved")
-    for value, label in found:
-        method = method.when(value.isNotNull(), label)
+    labels = F.array(*[F.lit(label) for _, label in tiers])
+    method = F.when(given.isNull() & F.col("_best").isNotNull(), F.get(labels, F.col("_best._tier")))
     return out.withColumns(
-        {
-            "_resolved": F.coalesce(given, *[v for v, _ in found]),
-            method_col: method.otherwise("unresolved"),
-        }
+        {"_resolved": F.coalesce(given, F.col("_best._id")), method_col: F.coalesce(method, F.lit("unresolved"))}
     ).select(
         *[c for c in df.columns if c not in (id_col, method_col)],
         F.col("_resolved").alias(id_col),
