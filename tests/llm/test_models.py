@@ -101,23 +101,35 @@ def test_toxicity_without_a_class(spark):
     assert toxicity.predictions(docs.where("false"), marks.where("false")).count() == 0
 
 
-def test_class_models_sum_to_one():
-    rng = np.random.default_rng(0)
-    before, word = rng.integers(0, 40, 3000), rng.integers(0, 60, 3000)
-    every = Counter(zip(before.tolist(), word.tolist()))
-    kept = sorted(k for k, n in every.items() if n > 1)
-    counts = toxicity.Counts(
-        np.array([a * toxicity.WORDS + b for a, b in kept]),
-        np.array([[0.0] * len(kept), [every[k] for k in kept]]),
-        np.stack([np.zeros(toxicity.WORDS), np.bincount(before, minlength=toxicity.WORDS)]),
-        np.stack([np.zeros(toxicity.WORDS), np.bincount(word, minlength=toxicity.WORDS)]),
-        np.bincount([w for _, w in every], minlength=toxicity.WORDS).astype(float),
-    )
-    model, words = toxicity.Evidence(counts), np.arange(toxicity.WORDS)
-    for k in (0, 1):
-        for context in (7, 39, 5000):
-            total = model.probability(k, np.full(len(words), context), words).sum()
-            assert total == pytest.approx(1, abs=1e-6)
+def test_class_models_sum_to_one(spark):
+    """What the listed expressions of a level or context take, and what is left to the backoff, are one."""
+    import pyarrow as pa
+
+    docs, labels = toxic_rows()
+    truth = dict(labels)
+    rows = spark.createDataFrame([(truth[i], text) for i, text in docs], "toxic int, text string")
+    levels, pairs, contexts = toxicity.count(rows)
+    parts = [toxicity.expressions(pa.array([text])) for _, text in docs]
+    found = [x for part in parts for x in part]
+    kinds = len(np.unique(np.concatenate([x[1][0] for x in found])))
+    forms = {}
+    for number in range(len(toxicity.STEMS)):
+        of = {}
+        for x in found:
+            for stem, word in zip(x[1][number + 1].tolist(), x[1][0].tolist()):
+                of.setdefault(stem, set()).add(word)
+        forms[number + 1] = of
+    assert len(levels[0].keys)  # the toxic words have lifts of their own
+    for number, level in enumerate(levels):
+        shared = [len(forms[number][k]) if number else 1 for k in level.keys.tolist()]
+        taken = (level.lifts * (np.array(shared) + 0.5) / (kinds + 1)).sum(axis=1)
+        assert taken + level.rest == pytest.approx([1, 1], abs=1e-9)
+        assert (level.rest > 0).all() and (level.lifts >= 0).all()
+    first = {p: b for x in found for p, b in zip(x[3].tolist(), x[2].tolist())}
+    total = pairs.rest.copy()
+    for k, key in enumerate(pairs.keys.tolist()):
+        total[:, np.searchsorted(contexts, np.uint64(first[key]))] += pairs.lifts[:, k] * 1.5 / (kinds + 1)
+    assert total == pytest.approx(np.ones_like(total), abs=1e-9)
 
 
 # -- language model --------------------------------------------------------
