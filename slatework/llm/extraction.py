@@ -243,7 +243,7 @@ def fit_weights(pages: DataFrame, id_column: str, html_column: str, fit_pages: i
     """Log-odds of content per token class, over pages that mark their content."""
     marked = pages.where(F.col(html_column).rlike("(?i)<(article|main)[\\s>]"))
     rank = rank_hash(F.col(id_column), "pages")
-    limits = thresholds(marked.select(F.lit(1).alias("one")), "one", fit_pages, 1)
+    limits = thresholds(marked.select(F.lit(1).alias("one")), "one", fit_pages)
     chosen = marked.where(below(F.lit(1), rank, limits)).select(F.col(html_column).alias("html"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -10,8 +10,8 @@ Scoring cuts a whole text into equal segments of at most ``SEGMENT`` bytes (the
 length of the training excerpts), multiplies batches of presence rows with the
 landmark matrix, and averages the class values by segment length.
 
-The fit uses at most ``PER_LANGUAGE`` excerpts of each of the ``MOST_LANGUAGES``
-most frequent languages, chosen by hash of the document id.
+The fit uses at most about ``PER_LANGUAGE`` excerpts of every language that has
+labelled texts, chosen by hash of the document id.
 
 Defined results: ``und`` with score 0 if the text is null or has no letter, or
 if nothing could be learned (``has_letter`` of ``identify`` tells the two apart); a tie goes to the alphabetically first language;
@@ -34,7 +34,6 @@ from slatework.llm.bytesio import LOWER, text_bytes
 from slatework.llm.sampling import below, fold, rank_hash, thresholds
 
 PER_LANGUAGE = 400
-MOST_LANGUAGES = 256
 LANDMARKS = 160
 SEGMENT = 2048
 RIDGE = 1e-2
@@ -135,7 +134,7 @@ def sample(docs: DataFrame, id_column: str, text_column: str, label_column: str,
     """(language, excerpt) rows in a repeatable order; at most about ``per_language`` of each."""
     rank = rank_hash(F.col(id_column), "language")
     usable = docs.where(learn & F.col(label_column).isNotNull() & F.col(text_column).isNotNull())
-    limits = thresholds(usable.select(F.col(label_column).alias("label")), "label", per_language, MOST_LANGUAGES)
+    limits = thresholds(usable.select(F.col(label_column).alias("label")), "label", per_language)
     size = F.element_at(F.array(*[F.lit(n) for n in _EXCERPTS]), (rank % len(_EXCERPTS) + 1).cast("int"))
     spare = F.greatest(F.char_length(text_column) - size, F.lit(0)) + 1
     start = F.pmod(F.xxhash64(F.col(id_column), F.lit("start")), spare.cast("long")).cast("int") + 1
@@ -187,13 +186,13 @@ def identify(
     text_column: str = "text",
     label_column: str = "lang",
     per_language: int = PER_LANGUAGE,
-    keep: list[str] | None = None,
+    answer: str | None = None,
 ) -> DataFrame:
     """(doc_id, lang_pred, score) per input row, learned from the rows where ``learn`` holds.
 
-    With ``keep`` those columns are returned in place of doc_id, and ``has_letter``
-    is added: false for a null text and for one without a letter, whether or not
-    anything could be learned.
+    With ``answer``, all columns of ``docs`` come back and a struct of this name:
+    lang_pred, score and ``has_letter``, which is false for a null text and for
+    one without a letter, whether or not anything could be learned.
     """
     learn = F.col(id_column).isNotNull() if learn is None else F.coalesce(learn, F.lit(False))
     model = fit_excerpts(sample(docs, id_column, text_column, label_column, learn, per_language))
@@ -215,15 +214,14 @@ def identify(
             found, scores, letters = score_batch(own, features, column)
             yield [pa.array(found, pa.string()), pa.array(scores, pa.float64()), pa.array(letters)]
 
-    if keep is not None:
+    if answer is not None:
         # Only the text goes to Python and only the answer comes back.
-        def answer(columns: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        def answers(columns: Iterator[pa.Array]) -> Iterator[pa.Array]:
             for three in predicted(columns):
                 yield pa.StructArray.from_arrays(three, ["lang_pred", "score", "has_letter"])
 
-        call = F.arrow_udf(answer, "lang_pred string, score double, has_letter boolean")
-        found = docs.withColumn("_found", call(F.col(text_column)))
-        return found.select(*[F.col(f"`{c}`") for c in keep], "_found.lang_pred", "_found.score", "_found.has_letter")
+        call = F.arrow_udf(answers, "lang_pred string, score double, has_letter boolean")
+        return docs.withColumn(answer, call(F.col(text_column)))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[pa.Array] = []

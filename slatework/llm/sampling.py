@@ -18,12 +18,12 @@ def rank_hash(id_column: Column, salt: str) -> Column:
     return F.pmod(F.xxhash64(id_column.cast("string"), F.lit(salt)), F.lit(_RANGE).cast("long"))
 
 
-def thresholds(rows: DataFrame, group: str, per_group: int, most_groups: int) -> dict:
+def thresholds(rows: DataFrame, group: str, per_group: int) -> dict:
     """Per group value the hash limit under which about ``per_group`` rows lie.
 
-    The ``most_groups`` most frequent values are returned, so the answer is bounded.
+    One entry per value: for columns of labels, which have few.
     """
-    counts = rows.groupBy(group).count().orderBy(F.desc("count"), group).limit(most_groups)
+    counts = rows.groupBy(group).count().orderBy(F.desc("count"), group)
     return {r[0]: min(_RANGE, int(_RANGE * per_group / r[1]) + 1) for r in counts.collect()}
 
 
@@ -33,3 +33,11 @@ def below(group: Column, rank: Column, limits: dict) -> Column:
     for value, limit in limits.items():
         chosen = chosen | ((group == F.lit(value)) & (rank < F.lit(limit)))
     return chosen
+
+
+def free_name(base: str, columns: list[str]) -> str:
+    """``base``, or a longer name, that none of ``columns`` has in any spelling."""
+    taken = {c.lower() for c in columns}
+    while base.lower() in taken:
+        base = "_" + base
+    return base

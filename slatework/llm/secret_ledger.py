@@ -21,6 +21,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from slatework.llm.sampling import free_name
 from slatework.session import stage
 
 
@@ -182,16 +183,14 @@ def redact(docs: DataFrame, marker: str = "[secret]", text_column: str = "text",
     before = Window.partitionBy("blob").orderBy("start", "end").rowsBetween(Window.unboundedPreceding, -1)
     spans = found.withColumn("reached", F.coalesce(F.max("end").over(before), F.lit(0)))
     spans = spans.where(F.col("end") > F.col("reached"))
-    spans = spans.groupBy("blob").agg(
-        F.sort_array(F.collect_list(F.struct("start", "end", "reached"))).alias("spans")
-    )
-    spans = stage(spans, "secret-spans")
-    addressed = docs.select("*", content_address(F.col(text_column)).alias("_blob"))
-    joined = addressed.join(spans.withColumnRenamed("blob", "_blob"), "_blob", "left")
+    blob, cuts = free_name("_blob", docs.columns), free_name("_spans", docs.columns)
+    listed = F.sort_array(F.collect_list(F.struct("start", "end", "reached")))
+    spans = stage(spans.groupBy(F.col("blob").alias(blob)).agg(listed.alias(cuts)), "secret-spans")
+    joined = docs.withColumn(blob, content_address(F.col(text_column))).join(spans, blob, "left")
     text = F.col(text_column)
     # Text before each span (none where it overlaps the one before), the markers, and the rest.
     pieces = F.transform(
-        "spans",
+        cuts,
         lambda s: F.when(
             (s["start"] >= s["reached"]),
             F.concat(
@@ -200,8 +199,8 @@ def redact(docs: DataFrame, marker: str = "[secret]", text_column: str = "text",
             ),
         ).otherwise(F.lit("")),
     )
-    last = F.element_at("spans", -1)["end"]
+    last = F.element_at(cuts, -1)["end"]
     rest = F.substring(text, (last + 1).cast("int"), F.char_length(text))
-    cut = F.when(F.col("spans").isNull(), text).otherwise(F.concat(F.array_join(pieces, ""), rest))
+    cut = F.when(F.col(cuts).isNull(), text).otherwise(F.concat(F.array_join(pieces, ""), rest))
     names = [c for c in docs.columns if c != text_column]
     return joined.select(*[F.col(f"`{c}`") for c in names], cut.alias(text_column))

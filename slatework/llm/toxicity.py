@@ -12,7 +12,8 @@ so rare and everyday expressions say nothing.
 
 Expressions are counted once per document, so that a long document does not
 speak for its class. All levels are kept as lifts over the shared model; only
-expressions with a lift of their own are listed, at most ``LISTED`` per level.
+expressions with a lift of their own are listed. Their number is bounded by the
+words of the sample, of which only those far above their share have one.
 
 The counts come from at most about ``PER_CLASS`` labelled documents of each
 class, chosen by hash of the id; a quarter of them is kept out of the counts and
@@ -44,7 +45,6 @@ STEMS = (8, 6, 4)
 DISCOUNT = 0.75
 DEVIATIONS = 4.0
 PER_CLASS = 8000
-LISTED = 100_000
 _WORD, _PAIR = 0, len(STEMS) + 1
 _START = np.uint64(0x57A2700000000001)
 
@@ -200,7 +200,7 @@ def count(rows: DataFrame) -> tuple[list[Level], Level, np.ndarray]:
     def listed(level: int, with_kinds: DataFrame | None, *more: str):
         totals = sums.get(level, (0.0, 0.0))
         rows = table.where(F.col("level") == level).withColumns({"e0": _excess(0, totals), "e1": _excess(1, totals)})
-        rows = rows.where("e0 > 0 or e1 > 0").orderBy(F.desc(F.greatest("e0", "e1")), "key").limit(LISTED)
+        rows = rows.where("e0 > 0 or e1 > 0")
         if with_kinds is not None:
             rows = rows.join(with_kinds, "key", "left")
         found = rows.select("key", "e0", "e1", *more).toPandas()
@@ -242,7 +242,7 @@ def count(rows: DataFrame) -> tuple[list[Level], Level, np.ndarray]:
 def fit(docs: DataFrame, labels: DataFrame, learn, per_class: int = PER_CLASS) -> Model | None:
     """Model of the labelled rows for which ``learn`` (over doc_id) holds."""
     marks = labels.where(learn & F.col("toxic").isin(0, 1)).groupBy("doc_id").agg(F.max("toxic").cast("int").alias("toxic"))
-    limits = thresholds(marks, "toxic", per_class, 2)
+    limits = thresholds(marks, "toxic", per_class)
     if len(limits) < 2:
         return None
     chosen = marks.where(below(F.col("toxic"), rank_hash(F.col("doc_id"), "toxicity"), limits))
@@ -283,7 +283,7 @@ def _model(plain) -> Model | None:
 
 def score(docs: DataFrame, model: Model | None, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
     """(doc_id, score) per input row."""
-    shared = docs.sparkSession.sparkContext.broadcast(_plain(model))  # at most LISTED entries a level
+    shared = docs.sparkSession.sparkContext.broadcast(_plain(model))  # bounded by the sample
     schema = T.StructType(
         [T.StructField("doc_id", docs.schema[id_column].dataType), T.StructField("score", T.DoubleType())]
     )

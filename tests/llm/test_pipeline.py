@@ -133,3 +133,27 @@ def test_columns_named_like_the_row_key(spark, tmp_path):
     for step in (corpus_pipeline.near_duplicates, corpus_pipeline.decontamination):
         out = step(spark, docs, str(tmp_path))
         assert out.columns == docs.columns and _kept(out) == [(1, "other things"), (1, "some words")]
+
+
+def test_columns_named_like_helpers(spark, tmp_path):
+    rows = [(1, "some words password=abcdefgh1234"), (2, "other things"), (None, None)]
+    names = ["has_letter", "_found", "answer", "spans", "_spans", "_blob", "Blob", "row_key", "lang_pred", "start", "reached"]
+    docs = _rows(spark, rows).select("*", *[F.lit(n).alias(n) for n in names])
+    spark.createDataFrame([], "item_id bigint, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    for name, step in corpus_pipeline.STAGES[:-1]:
+        out = step(spark, docs, str(tmp_path))
+        assert out.columns == docs.columns, name
+        found = out.collect()
+        assert len(found) == (2 if name == "language_id" else 3) and all(r[n] == n for r in found for n in names), name
+    packed = corpus_pipeline.pack(spark, docs.withColumn("length", F.lit("x")), str(tmp_path))
+    assert packed.select("doc_id").distinct().count() == 3
+
+
+def test_rare_languages_are_learned(spark):
+    from slatework.llm import language_id
+
+    names = [f"l{k:03}" for k in range(300)]
+    rows = [(k * 3, f"{chr(97 + k % 26)}{chr(97 + k // 26)}q " * 30, names[k]) for k in range(300)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, lang string")
+    found = language_id.sample(docs, "doc_id", "text", "lang", F.lit(True), 400)
+    assert {r[0] for r in found} == set(names)
