@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from slatework.llm import decontaminate, language_id, packing, secret_ledger, simhash
-from slatework.llm.sampling import fold
+from slatework.llm.sampling import fold, free_name
 from slatework.session import stage
 
 
@@ -17,8 +17,9 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     If nothing can be learned at all (``lang`` is null wherever it may be used), every
     document with a letter stays: only null and letterless texts are ever dropped.
     """
-    found = language_id.identify(docs, learn=fold(F.col("doc_id"), 3) != 1, keep=docs.columns)
-    return found.where("has_letter").select(docs.columns)
+    answer = free_name("answer", docs.columns)
+    found = language_id.identify(docs, learn=fold(F.col("doc_id"), 3) != 1, answer=answer)
+    return found.where(F.col(answer)["has_letter"]).drop(answer)
 
 
 def _keyed(docs: DataFrame) -> tuple[DataFrame, str]:
@@ -27,9 +28,7 @@ def _keyed(docs: DataFrame) -> tuple[DataFrame, str]:
     Ids may be null or repeated, so stages judge rows by this number. It is
     written because two readings of one plan need not number rows alike.
     """
-    taken, key = {c.lower() for c in docs.columns}, "row_key"
-    while key in taken:
-        key = "_" + key
+    key = free_name("row_key", docs.columns)
     return stage(docs.withColumn(key, F.monotonically_increasing_id()), "keyed-documents"), key
 
 
