@@ -10,6 +10,7 @@ from slatework.functions.coerce import date_of
 from slatework.operators import quality, resolve, shape, slates
 from slatework.operators.rolling import rolling
 from slatework.plans import features, gametables, inputs, spine
+from slatework.session import stage
 from slatework.sources.contracts import Contract, conform
 
 
@@ -405,17 +406,25 @@ def _(t: Tables) -> DataFrame:
     return shape.stack([x.select("table_name", "missing_required", "row_count", "duplicate_rows", "valid") for x in reports])
 
 
-@query(
-    "q06_table_profile",
-    """select unnest(['rows', 'distinct_keys', 'duplicates', 'min_date', 'max_date', 'nulls_o_orderstatus']) as measure,
+_PROFILE_ORDERS = """select unnest(['rows', 'distinct_keys', 'duplicates', 'min_date', 'max_date', 'nulls_o_orderstatus']) as measure,
     unnest([cast(count(*) as varchar), cast(count(distinct o_custkey) as varchar), cast(count(*) - count(distinct o_custkey) as varchar),
     cast(cast(min(o_orderdate) as date) as varchar), cast(cast(max(o_orderdate) as date) as varchar),
-    cast(count(*) filter (o_orderstatus = 'P') as varchar)]) as value from orders""",
-)
+    cast(count(*) filter (o_orderstatus = 'P') as varchar)]) as value from orders"""
+
+
+@query("q06_table_profile", _PROFILE_ORDERS)
 def _(t: Tables) -> DataFrame:
     return quality.profile(_gapped(t), ["o_custkey"], "o_orderdate", ["o_orderstatus"])
 
 
+@query("q06_merged_profile", _PROFILE_ORDERS)
+def _(t: Tables) -> DataFrame:
+    """Each season profiled alone; the written states give the profile of the whole."""
+    key, orders = ["o_custkey"], _gapped(t).withColumn("_season", F.year("o_orderdate") % 3)
+    parts = [orders.filter(F.col("_season").eqNullSafe(F.lit(k))) for k in (0, 1, 2, None)]
+    return quality.profile_of([stage(quality.profile_state(p, key, "o_orderdate", ["o_orderstatus"]), "profile-state") for p in parts], key)
+
+
 @query(
     "q07_coverage",
     f"""select {r('avg((home_starter_pitcher_id is not null and away_starter_pitcher_id is not null)::int) * 100', 'pct_both_starters')},

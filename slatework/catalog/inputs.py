@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
+from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from slatework.catalog.base import Tables, query, r
 from slatework.functions.coerce import date_of
 from slatework.session import stage_path
-from slatework.sources import datasets, feeds, pages, providers
+from slatework.sources import datasets, feeds, pages, providers, snapshots
 
 
 @query("io01_parquet_scan", "select l_orderkey, l_partkey, l_quantity from lineitem")
@@ -89,6 +90,27 @@ def _(t: Tables) -> DataFrame:
     return datasets.latest_slice(dated, "day").select("o_orderkey", "o_custkey")
 
 
+@query(
+    "io08_snapshots",
+    """select case when year(o_orderdate) = 1997 then 'latest' else 'older' end as snapshot, o_orderkey, o_custkey from orders
+    where year(o_orderdate) in (1996, 1997)""",
+)
+def _(t: Tables) -> DataFrame:
+    """Two dated snapshots; the pointer outlives a write that fails."""
+    root = stage_path(t.spark, "snapshots")
+    dated = t.orders.select("o_orderkey", "o_custkey", F.year("o_orderdate").alias("season"))
+    for season in (1996, 1997):
+        snapshots.publish(dated.filter(F.col("season") == season), root, str(season))
+    try:
+        snapshots.publish(dated.select(F.raise_error(F.lit("no feed")).cast("bigint").alias("o_orderkey")), root, "1998")
+    except PySparkException:
+        pass
+    latest = snapshots.read_snapshot(t.spark, root)
+    older = snapshots.read_snapshot(t.spark, root, "1996")
+    both = latest.withColumn("snapshot", F.lit("latest")).unionByName(older.withColumn("snapshot", F.lit("older")))
+    return both.select("snapshot", "o_orderkey", "o_custkey")
+
+
 def _team(side: str):
     return F.struct(
         F.col(f"{side}_score").cast("bigint").alias("score"),

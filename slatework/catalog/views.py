@@ -29,7 +29,7 @@ from slatework.functions.teams import PARK_COLUMNS, PARK_FACTORS
 from slatework.operators import resolve
 from slatework.operators.rolling import rolling
 from slatework.plans import boards, features, gametables, history, inputs, mart
-from slatework.session import stage
+from slatework.session import stage, stage_path
 from slatework.sources import records
 
 define("dt_bat_rolls", BATTER_CONTACT_ROLLS)
@@ -519,21 +519,37 @@ def _(t: Tables) -> DataFrame:
     return inputs.pitcher_inputs(starters, first, second, F.lit("2000-01-01").cast("date"), ["game_pk"])
 
 
-@query(
-    "b18_pitches_to_plate_appearances",
-    f"""select l_orderkey as game_pk, l_linenumber::bigint as pa_index, 1998::bigint as season, l_partkey as batter_id, l_suppkey as pitcher_id, {EVENT_SQL} as event_type,
+_B18_SQL = f"""select l_orderkey as game_pk, l_linenumber::bigint as pa_index, 1998::bigint as season, l_partkey as batter_id, l_suppkey as pitcher_id, {EVENT_SQL} as event_type,
     {EVENT_SQL} in ('single', 'double', 'triple', 'home_run') as is_hit, cast(l_shipdate as date) as game_date, 'statcast' as source
-    from lineitem qualify row_number() over (partition by l_orderkey, l_linenumber order by {', '.join(c + ' desc' for c in LINE_KEY[1:])}) = 1""",
-)
-def _(t: Tables) -> DataFrame:
-    pitches = t.lineitem.select(
+    from lineitem qualify row_number() over (partition by l_orderkey, l_linenumber order by {', '.join(c + ' desc' for c in LINE_KEY[1:])}) = 1"""
+_B18_COLUMNS = ["game_pk", "pa_index", "season", "batter_id", "pitcher_id", "event_type", "is_hit", "game_date", "source"]
+
+
+def _pitches(t: Tables) -> DataFrame:
+    return t.lineitem.select(
         F.col("l_orderkey").alias("game_pk"), F.col("l_linenumber").alias("at_bat_number"), F.col("l_partkey").alias("batter"),
         F.col("l_suppkey").alias("pitcher"), F.upper(F.expr(EVENT_SQL)).alias("events"), F.col("l_shipdate").alias("game_date"),
         *LINE_KEY[1:],
     )
-    return history.season_pas(pitches, 1998, LINE_KEY[1:]).select(
-        "game_pk", "pa_index", "season", "batter_id", "pitcher_id", "event_type", "is_hit", "game_date", "source"
-    )
+
+
+@query("b18_pitches_to_plate_appearances", _B18_SQL)
+def _(t: Tables) -> DataFrame:
+    return history.season_pas(_pitches(t), 1998, LINE_KEY[1:]).select(*_B18_COLUMNS)
+
+
+@query("b18_restartable_rebuild", _B18_SQL)
+def _(t: Tables) -> DataFrame:
+    """By chunks in two runs: the second finds one chunk changed and one added, and reads those alone."""
+    source, target = stage_path(t.spark, "pitches"), stage_path(t.spark, "season")
+    dealt = _pitches(t).withColumn("month", F.pmod(F.xxhash64("batter"), F.lit(4)))
+    dealt.filter("month < 2 or month = 2 and batter % 2 = 0").write.partitionBy("month").parquet(source)
+    history.rebuild_season(t.spark, source, target, 1998, LINE_KEY[1:])
+    dealt.filter("month > 2 or month = 2 and batter % 2 = 1").write.mode("append").partitionBy("month").parquet(source)
+    rebuilt, chunks = history.rebuild_season(t.spark, source, target, 1998, LINE_KEY[1:])
+    if chunks != ["2", "3"]:
+        raise AssertionError(f"chunks built: {chunks}")
+    return rebuilt.select(*_B18_COLUMNS)
 
 
 @query(

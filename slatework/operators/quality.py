@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -85,16 +87,31 @@ def validate(df: DataFrame, spec: Contract | str, all_columns: bool = False) ->
         raise ValueError(f"validation failed: {row.asDict()}")
 
 
-def profile(df: DataFrame, key: list[str], date: str | None, nulls: list[str]) -> DataFrame:
-    """(measure, value as text): rows, distinct keys, date range, nulls, duplicates.
+def profile_state(df: DataFrame, key: list[str], date: str | None, nulls: list[str]) -> DataFrame:
+    """What a profile needs of a part of a table: one row per key with its rows, dates and nulls.
 
-    Grouped by key first: row and null counts are sums over the groups.
+    States merge: write the state of each part once, and the profile of any set
+    of parts is that of their states, without reading the parts again.
     """
     inner = [F.count(F.lit(1)).alias("_n")]
     inner += [F.count_if(F.col(c).isNull()).alias(f"nulls_{c}") for c in nulls]
     if date:
         inner += [F.min(date).alias("_min"), F.max(date).alias("_max")]
-    grouped = df.groupBy(*key).agg(*inner)
+    return df.groupBy(*key).agg(*inner)
+
+
+def merged_state(states: list[DataFrame], key: list[str]) -> DataFrame:
+    """One state of several parts; a key that occurs in several is one row."""
+    if len(states) == 1:
+        return states[0]
+    every = reduce(lambda a, b: a.unionByName(b), states)
+    how = {"_min": F.min, "_max": F.max}
+    return every.groupBy(*key).agg(*[how.get(c, F.sum)(c).alias(c) for c in every.columns if c not in key])
+
+
+def profile_of(states: list[DataFrame], key: list[str]) -> DataFrame:
+    """(measure, value as text) of the parts behind ``states``; see ``profile``."""
+    state = merged_state(states, key)
     known = F.lit(True)
     for k in key:
         known = known & F.col(k).isNotNull()
@@ -103,16 +120,24 @@ def profile(df: DataFrame, key: list[str], date: str | None, nulls: list[str]) -
         F.count_if(known).cast("string").alias("distinct_keys"),
         F.coalesce(F.sum(F.col("_n") - 1), F.lit(0)).cast("string").alias("duplicates"),
     ]
-    if date:
+    if "_min" in state.columns:
         outer += [
             F.min("_min").cast("date").cast("string").alias("min_date"),
             F.max("_max").cast("date").cast("string").alias("max_date"),
         ]
-    outer += [F.sum(f"nulls_{c}").cast("string").alias(f"nulls_{c}") for c in nulls]
-    totals = grouped.agg(*outer)
+    outer += [F.sum(c).cast("string").alias(c) for c in state.columns if c.startswith("nulls_") and c not in key]
+    totals = state.agg(*outer)
     return unpivot(totals, totals.columns, "measure", "value")
 
 
+def profile(df: DataFrame, key: list[str], date: str | None, nulls: list[str]) -> DataFrame:
+    """(measure, value as text): rows, distinct keys, date range, nulls, duplicates.
+
+    Grouped by key first: row and null counts are sums over the groups.
+    """
+    return profile_of([profile_state(df, key, date, nulls)], key)
+
+
 def share(condition: Column) -> Column:
     """Percentage of rows where the condition holds, unknown counting as false."""
     return F.avg(F.when(condition, 1.0).otherwise(0.0)) * 100

@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+import uuid
+
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from slatework.functions.coerce import date_of, date_text, int_of, null_of, text_of
 from slatework.operators.dedupe import last_per_key
 from slatework.operators.shape import pick, replace_columns, stack
 from slatework.sources.records import plate_appearances
+from slatework.sources.snapshots import Manifest, folder_fingerprints
 
 # Contact columns and the names they are promoted to.
 PROMOTED_CONTACT = {
@@ -61,8 +64,7 @@ def dedupe_pas(pa: DataFrame) -> DataFrame:
 def season_pas(pitches: DataFrame, season: int | None, order: list[str], source: str = "statcast") -> DataFrame:
     """Pitch events to the season's plate-appearance table.
 
-    One job over the whole season: month by month fetching was only needed by
-    the network source, and repeated keys across months are removed here.
+    One job over the whole season; ``rebuild_season`` does it chunk by chunk.
     """
     pas = plate_appearances(last_pitches(pitches, order), source)
     if season is not None:
@@ -70,6 +72,38 @@ def season_pas(pitches: DataFrame, season: int | None, order: list[str], source:
     return dedupe_pas(pas).withColumn("game_date", date_of(F.col("game_date")))
 
 
+def rebuild_season(
+    spark: SparkSession, source: str, target: str, season: int | None, order: list[str], by: str = "month", label: str = "statcast"
+) -> tuple[DataFrame, list[str]]:
+    """(the season's plate appearances, chunks built by this run) from pitches in ``by=...`` folders.
+
+    ``target`` keeps a ledger of (chunk, fingerprint of its files) and, per
+    chunk, the last pitch of every at-bat. A run builds the chunks that the
+    ledger does not have, one after the other, and enters each when it is
+    written: a run that was stopped goes on where it was, and later runs read
+    what is new. Chunks that are gone from the source leave the ledger.
+
+    The last pitch of an at-bat is the last of its chunks' last pitches, so
+    at-bats over several chunks come out as by a full rebuild.
+    """
+    ledger = Manifest(spark, target)
+    now, done = folder_fingerprints(spark, source, by), ledger.read()
+    kept = {chunk: entry for chunk, entry in done.items() if chunk in now}
+    unseen = sorted(c for c, mark in now.items() if kept.get(c, {}).get("fingerprint") != mark)
+    for chunk in unseen:
+        folder = f"{by}={chunk}-{uuid.uuid4().hex}"
+        pitches = spark.read.parquet(f"{source.rstrip('/')}/{by}={chunk}")
+        last_per_key(pitches, ["game_pk", "at_bat_number"], order).write.parquet(f"{target.rstrip('/')}/{folder}")
+        kept[chunk] = {"fingerprint": now[chunk], "folder": folder}
+        ledger.replace(kept)
+    if kept.keys() != done.keys():
+        ledger.replace(kept)
+    if not kept:
+        raise ValueError(f"no {by}=... folder in {source}")
+    chunks = [spark.read.parquet(f"{target.rstrip('/')}/{entry['folder']}") for _, entry in sorted(kept.items())]
+    return season_pas(stack(chunks), season, order, label), unseen
+
+
 def enrich_pas(pa: DataFrame, daily: DataFrame) -> DataFrame:
     """Plate appearances with the batter-day contact summary under canonical names."""
     base = pa.withColumns({"game_date": date_of(F.col("game_date")), "batter_id": int_of(pa, "batter_id")})
