@@ -17,7 +17,7 @@ from slatework.functions.teams import SPINE, roof_class, station_of, team_code
 from slatework.functions.text import degrees_text
 from slatework.operators.dedupe import last_per_key
 from slatework.operators.quality import assert_unique, share
-from slatework.operators.shape import pick
+from slatework.operators.shape import pick, stack
 
 _READ = {
     "i": (int_of, "bigint"),
@@ -147,19 +147,33 @@ def starter_summary(starters: DataFrame, order: list[str]) -> DataFrame:
     )
 
 
-def _join_sides(spine: DataFrame, side: DataFrame, found: str, check: bool, label: str) -> DataFrame:
-    """Join a per-team table for the away and for the home team."""
-    keyed = side.withColumn("_norm", team_code(F.col("team"), SPINE)).drop("team")
-    if check:
-        assert_unique(keyed, ["game_pk", "_norm"], label)
-    out = spine
-    for where in ("away", "home"):
-        named = keyed.withColumnsRenamed(
-            {c: f"{where}_{c}" for c in keyed.columns if c not in ("game_pk", "_norm")}
-        ).withColumnRenamed("_norm", f"_{where}_norm")
-        out = out.join(named, ["game_pk", f"_{where}_norm"], "left")
-        out = out.withColumn(f"{where}_{found}", F.coalesce(f"{where}_{found}", F.lit(False)))
-    return out
+def _one_of(keys: list[str], parts: dict[str, tuple[DataFrame, list[str]]], check: bool) -> DataFrame:
+    """One row per key with a struct per part: all parts stacked, one aggregate.
+
+    A part is (rows with the keys, order columns). Of several rows of a key the
+    last by the order counts; without an order a second row stops the job, which
+    the same aggregate notices.
+    """
+    stacked = []
+    for label, (df, order) in parts.items():
+        # Nulls sort last, as newest.
+        newest = F.struct(*[x for o in order for x in (F.col(o).isNull().alias(f"{o}_null"), F.col(o).alias(o))] or [F.lit(0).alias("none")])
+        value = F.struct(*[c for c in df.columns if c not in (*keys, *order)])
+        stacked.append(df.select(*keys, value.alias(label), newest.alias(f"_order_{label}")))
+    aggregates, fine = [], F.lit(True)
+    for label, (_, order) in parts.items():
+        aggregates += [F.max_by(label, f"_order_{label}").alias(label), F.count(label).alias(f"_n_{label}")]
+        if check and not order:
+            texts = [F.concat(F.lit(f" {k}="), F.coalesce(F.col(k).cast("string"), F.lit("null"))) for k in keys]
+            stop = F.raise_error(F.concat(F.lit(f"{label}: repeated key"), *texts)).cast("boolean")
+            fine = fine & F.when(F.col(f"_n_{label}") > 1, stop).otherwise(True)
+    return stack(stacked).groupBy(*keys).agg(*aggregates).filter(fine).select(*keys, *parts)
+
+
+def _ordered(df: DataFrame, fields, order: list[str]) -> tuple[DataFrame, list[str]]:
+    """Renamed and cast rows with their order columns under names of their own."""
+    names = [f"_o{i}" for i in range(len(order))]
+    return _select(df.withColumns({n: F.col(o) for n, o in zip(names, order)}), fields, names), names
 
 
 def build_spine(
@@ -176,40 +190,42 @@ def build_spine(
     """Unified pregame table, one row per scheduled game.
 
     ``orders`` names, per optional input, the columns that say which of several
-    rows of a key is the last. With ``check`` the declared cardinalities are
-    verified (one aggregate each) before the lazy plan is returned.
+    rows of a key is the last. Schedule, games and weather are stacked and folded
+    per game, lineups and starters per game and team; each fold is one aggregate,
+    which with ``check`` also verifies the declared cardinalities: a repeated key
+    stops the job. Nothing runs before the plan is executed.
     """
     orders = {"games": [], "weather": [], "parks": [], "starters": ["pitcher_id"], **(orders or {})}
-    out = prep_schedule(schedule, check).withColumns(
-        {
-            "_away_norm": team_code(F.col("away_team"), SPINE),
-            "_home_norm": team_code(F.col("home_team"), SPINE),
+    base = prep_schedule(schedule, check=False)
+    per_game = {"schedule": (base, [])}
+    for name, df, fields in (("games", games, GAMES), ("weather", weather, WEATHER)):
+        if df is not None:
+            per_game[name] = _ordered(df, fields, orders[name])
+    folded = _one_of(["game_pk"], per_game, check).filter(F.col("schedule").isNotNull())
+    out = folded.select("game_pk", *[f"{name}.*" for name in per_game])
+    out = out.withColumns({f"_{w}_norm": team_code(F.col(f"{w}_team"), SPINE) for w in ("away", "home")})
+    if parks is not None:
+        rows, order = _ordered(parks, PARKS, orders["parks"])
+        side = _one_of(["venue_id"], {"parks": (rows, order)}, check).select("venue_id", "parks.*")
+        out = out.join(side, "venue_id", "left").select("game_pk", *[c for c in out.columns if c != "game_pk"], *side.columns[1:])
+    sides = {label: lineup_summary(df, label) for label, df in (("projected", projected), ("confirmed", confirmed)) if df is not None}
+    if starters is not None:
+        sides["starters"] = starter_summary(starters, orders["starters"])
+    if sides:
+        per_team = {
+            label: (df.withColumn("_norm", team_code(F.col("team"), SPINE)).drop("team"), []) for label, df in sides.items()
         }
-    )
-    for name, df, fields, key in (
-        ("games", games, GAMES, "game_pk"),
-        ("weather", weather, WEATHER, "game_pk"),
-        ("parks", parks, PARKS, "venue_id"),
-    ):
-        if df is None:
-            continue
-        side = prep_side(df, fields, key, orders[name])
-        if check and not orders[name]:
-            assert_unique(side, [key], name)
-        out = out.join(side, key, "left")
-    missing = []
-    for label, df in (("projected", projected), ("confirmed", confirmed)):
-        if df is None:
-            missing += [f"{w}_{label}_lineup_found" for w in ("away", "home")]
-        else:
-            out = _join_sides(out, lineup_summary(df, label), f"{label}_lineup_found", check, label)
-    if starters is None:
-        missing += ["away_starter_found", "home_starter_found"]
-    else:
-        out = _join_sides(
-            out, starter_summary(starters, orders["starters"]), "starter_found", check, "starters"
-        )
-    out = out.withColumns({c: F.lit(False) for c in missing}) if missing else out
+        teams = _one_of(["game_pk", "_norm"], per_team, check)
+        for where in ("away", "home"):
+            named = teams.select("game_pk", F.col("_norm").alias(f"_{where}_norm"), *[F.col(x).alias(f"_{where}_{x}") for x in sides])
+            out = out.join(named, ["game_pk", f"_{where}_norm"], "left")
+        wide = {
+            f"{where}_{c}": F.col(f"_{where}_{label}")[c]
+            for label, df in sides.items() for where in ("away", "home") for c in df.columns if c not in ("game_pk", "team")
+        }
+        out = out.withColumns(wide).drop(*[f"_{where}_{x}" for where in ("away", "home") for x in sides])
+    flags = [f"{w}_{c}" for c in ("projected_lineup_found", "confirmed_lineup_found", "starter_found") for w in ("away", "home")]
+    out = out.withColumns({c: F.coalesce(c, F.lit(False)) if c in out.columns else F.lit(False) for c in flags})
     both = {
         "lineups_projected_both_found": "projected_lineup_found",
         "lineups_confirmed_both_found": "confirmed_lineup_found",

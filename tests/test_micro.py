@@ -242,3 +242,30 @@ def test_factors_multiply_in_order(spark):
     steps = [(F.lit(True), 1.1), (F.lit(False), 5.0), (F.lit(None).cast("boolean"), 7.0), (F.lit(True), 0.5)]
     assert value(spark, sc.multiply_where(F.lit(2.0), steps)) == 2.0 * 1.1 * 0.5
     assert value(spark, sc.multiply_where(F.lit(None).cast("double"), steps)) is None
+
+
+def test_spine_verifies_its_keys_in_the_plan(spark):
+    from slatework.plans import spine
+
+    schedule = spark.createDataFrame(
+        [(1, "2024-05-01", 2024, "NYY", "BOS", 3), (2, "2024-05-01", 2024, "LAD", "SFG", 4)],
+        "game_pk int, game_date string, season int, away_team string, home_team string, venue_id int",
+    )
+    weather = spark.createDataFrame([(1, 70.0, 1), (1, 75.0, 2), (1, 60.0, None), (9, 1.0, 1)], "game_pk int, temperature_f double, n int")
+    lineups = spark.createDataFrame(
+        [(1, "BOS", 1, 11, "a"), (1, "BOS", 2, 12, "b"), (1, "NYY", 1, 13, "c")],
+        "game_pk int, team string, batting_order int, player_id int, player_name string",
+    )
+    starters = spark.createDataFrame([(1, "NYY", 5), (1, "NYY", 6), (1, None, 7)], "game_pk int, team string, pitcher_id int")
+    out = spine.build_spine(schedule, weather=weather, projected=lineups, starters=starters, orders={"weather": ["n"]})
+    first, second = out.orderBy("game_pk").collect()
+    # Nulls sort last, as newest.
+    assert (first.temperature_f, first.away_starter_pitcher_id, first.home_starter_found) == (60.0, 6, False)
+    assert (first.home_projected_lineup_spots, first.away_projected_last_batter, first.lineups_projected_both_found) == (2, "c", True)
+    assert second.temperature_f is None and not second.away_projected_lineup_found and not second.lineups_confirmed_both_found
+    repeated = spine.build_spine(schedule, weather=weather)
+    with pytest.raises(Exception, match="weather: repeated key game_pk=1"):
+        repeated.collect()
+    with pytest.raises(Exception, match="schedule: repeated key game_pk=2"):
+        spine.build_spine(schedule.union(schedule.filter("game_pk = 2"))).collect()
+    assert spine.build_spine(schedule, weather=weather, check=False).count() == 2
