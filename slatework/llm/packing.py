@@ -27,10 +27,11 @@ from slatework.llm.pretokens import PreTokens, default_vocabulary
 
 LONGEST = 1024
 CLOSING_ID = 0
-#: Words whose ids a Python worker remembers, and their characters together. It does so twice:
-#: for the words lately used, and for those used before them.
-REMEMBERED = 600_000
-REMEMBERED_CHARACTERS = 24 << 20
+#: Words whose ids an encoder remembers, and the most characters of one on average. It does so
+#: twice: for the words lately used, and for those used before them.
+REMEMBERED = 200_000
+REMEMBERED_LASTING = 600_000
+_CHARACTERS = 40
 
 
 class _Words(dict):
@@ -67,9 +68,8 @@ class _Words(dict):
         shift = np.repeat(self.starts[places] - (ends - lengths), lengths)
         return self.flat[shift + np.arange(len(shift))], lengths
 
-    @property
-    def full(self) -> bool:
-        return len(self) > REMEMBERED or self.characters > REMEMBERED_CHARACTERS
+    def full(self, words: int) -> bool:
+        return len(self) > words or self.characters > _CHARACTERS * words
 
 
 class Encoder:
@@ -80,8 +80,8 @@ class Encoder:
     once by ``tokenizers`` and remembered.
     """
 
-    def __init__(self, vocabulary: str):
-        self._cut = PreTokens(vocabulary)
+    def __init__(self, vocabulary: str, remembered: int = REMEMBERED):
+        self._cut, self._remembered = PreTokens(vocabulary), remembered
         self._known, self._before = _Words(), _Words()
 
     def __call__(self, texts: list[str]) -> Iterator[bytes]:
@@ -92,7 +92,7 @@ class Encoder:
                 size += len(texts[end])
                 end += 1
             found = [self._cut(text) for text in texts[at:end]]
-            if self._known.full:
+            if self._known.full(self._remembered):
                 self._known, self._before = _Words(), self._known
             known, before = self._known, self._before
             places = known.places(chain.from_iterable(found))
@@ -114,7 +114,7 @@ def worker_encoder(vocabulary: str) -> Encoder:
     kept = sys.modules.setdefault("slatework_worker_encoders", types.ModuleType("slatework_worker_encoders"))
     encoder = getattr(kept, "by_vocabulary", {}).get(vocabulary)
     if encoder is None:
-        encoder = Encoder(vocabulary)
+        encoder = Encoder(vocabulary, REMEMBERED_LASTING)
         kept.by_vocabulary = {vocabulary: encoder}
     return encoder
 
@@ -137,7 +137,7 @@ def split_documents(
     """Pieces (doc_id, start, length, doc_tokens, ids); ``ids`` are packed little-endian uint32.
 
     ``lasting``: what a Python worker remembers of words serves its later tasks
-    too, which saves a fifth of the time and keeps some 250 MB per worker.
+    too, and more of them: that saves a fifth of the time and keeps some 250 MB.
     """
     if longest & (longest - 1) or longest < 1:
         raise ValueError("the longest piece must be a power of two")
