@@ -176,8 +176,14 @@ def digest(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text"
 def redact(docs: DataFrame, marker: str = "[secret]", text_column: str = "text", rules=RULES) -> DataFrame:
     """``docs`` with every found span replaced by ``marker``; overlapping spans become one marker.
 
-    Texts without findings stay as they are; each blob is cut once.
+    Texts without findings stay as they are; each blob is cut once. Rows that no
+    rule's pattern matches pass by, so that only texts with a match are moved.
     """
+    matched = F.lit(False)
+    for rule in rules:
+        matched = matched | F.coalesce(F.col(text_column).rlike(rule.pattern), F.lit(False))
+    clean, every = docs.where(~matched), docs.columns
+    docs = docs.where(matched)
     blobs = unseen_blobs(docs, None, rules, text_column)
     found = scan_blobs(blobs, rules)
     before = Window.partitionBy("blob").orderBy("start", "end").rowsBetween(Window.unboundedPreceding, -1)
@@ -202,5 +208,5 @@ def redact(docs: DataFrame, marker: str = "[secret]", text_column: str = "text",
     last = F.element_at(cuts, -1)["end"]
     rest = F.substring(text, (last + 1).cast("int"), F.char_length(text))
     cut = F.when(F.col(cuts).isNull(), text).otherwise(F.concat(F.array_join(pieces, ""), rest))
-    names = [c for c in docs.columns if c != text_column]
-    return joined.select(*[F.col(f"`{c}`") for c in names], cut.alias(text_column))
+    redacted = joined.select(*[cut.alias(c) if c == text_column else F.col(f"`{c}`") for c in every])
+    return clean.union(redacted)
