@@ -2,21 +2,32 @@
 
 A page becomes a sequence of text blocks and tags. Marked boilerplate
 (navigation, adverts, forms, scripts, comments of readers ...) is taken out by
-element name, role and class. In what remains words score positive, tags and
-linked words negative, and one linear scan finds the contiguous run of blocks
-with the highest total.
-
-The weights are log-odds of being content, counted over labelled pages: at most
-about ``FIT_PAGES`` pages, chosen by hash, whose authors marked the content with
-an ``article`` or ``main`` element. Without any such page fixed weights apply.
+element name, role, class and id. In what remains words score positive, tags
+negative, linked words as the labelled pages show, and one linear scan finds the
+contiguous run of blocks with the highest total. Where the author marked the
+content with ``article`` or ``main``, its tags cost nothing and its linked words
+are words, so no block of it is cut off; blocks outside it are left out, also
+between two such elements that one run spans.
+
+Marks: outside marked content any part of a class or id counts (``cookie-notice``).
+Inside it inline elements carry no marks; of headings, paragraphs and other
+prose only whole class names count, and no ids; of sections also any part of a
+class, and ids that name comments of readers; of other elements (``div``,
+lists, ...) any part of a class and whole ids.
+
+The weights are log-odds of being content, counted over labelled pages, removed
+regions included: at most about ``FIT_PAGES`` pages, chosen by hash, whose
+authors marked the content. Without any such page fixed weights apply.
 
 Text rules: character references are decoded, white space inside a block is one
 space, a line break element is white space, blocks are joined by a newline.
 
 Defined results: null html is empty and gives an empty text; a page without
 words gives an empty text; of equal runs the first is taken; a tag that never
-closes ends with its parent; an unfinished tag at the end is dropped; repeated
-rows are returned each; an empty table gives no rows.
+closes ends with its parent; an unfinished tag at the end is dropped; very long
+pages are read whole, in one pass; repeated rows are returned each; an empty
+table gives no rows; only the ``keep`` columns are read beside the html, so
+other columns cannot clash.
 """
 
 from __future__ import annotations
@@ -62,6 +73,10 @@ MARKS = frozenset(
 ROLES = frozenset("alert banner complementary contentinfo dialog form menu menubar navigation search toolbar".split())
 NEGATIONS = frozenset("no not without has with hide".split())
 CONTENT = frozenset(["article", "main"])
+PROSE = frozenset(
+    "blockquote caption dd dt figcaption figure h1 h2 h3 h4 h5 h6 hgroup hr li p pre section table tbody td tfoot th thead tr".split()
+)
+READERS = frozenset("comment comments disqus replies reply respond".split())
 
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*+(?:>|\Z)"
@@ -86,32 +101,42 @@ def _unwanted(name: str, attributes: str, in_content: bool) -> bool:
     if _HIDDEN.search(attributes):
         return True
     for kind, *values in _ATTRIBUTE.findall(attributes):
-        value = "".join(values).lower()
-        if kind.lower() == "role":
+        value, kind = "".join(values).lower(), kind.lower()
+        if kind == "role":
             if value in ROLES:
                 return True
-            continue
-        for single in value.split():
-            parts = _PART.findall(single)
-            for k, part in enumerate(parts):
-                if part == "header" and not in_content and len(parts) == 1 and name not in CONTENT:
-                    return True
-                if part in MARKS and not (k and parts[k - 1] in NEGATIONS):
-                    if name in CONTENT and part not in ("comment", "comments", "reply", "replies"):
-                        continue
-                    return True
+        elif any(_marked(name, kind, single, in_content) for single in value.split()):
+            return True
     return False
 
 
+def _marked(name: str, kind: str, single: str, in_content: bool) -> bool:
+    """Whether one class name or id marks an element as boilerplate."""
+    if in_content:
+        if name in INLINE:
+            return False
+        if kind == "id":
+            return single in (READERS if name == "section" else () if name in PROSE else MARKS)
+        if name in PROSE and name != "section":
+            return single in MARKS
+    parts = _PART.findall(single)
+    if parts == ["header"] and not in_content and name not in CONTENT:
+        return True
+    named = [p for k, p in enumerate(parts) if p in MARKS and not (k and parts[k - 1] in NEGATIONS)]
+    return any(name not in CONTENT or p in READERS for p in named)
+
+
 class Page:
     """Blocks and tags of one page in order.
 
     ``sequence`` holds tag names and blocks; a block is a list of (text, token
     class) pieces and the inline tags it contains. ``wanted`` tells, per entry,
-    whether it lies in an element that marks content.
+    whether it lies in an element that marks content. With ``whole`` the entries
+    of boilerplate are listed too, as not wanted.
     """
 
-    def __init__(self, source: str):
+    def __init__(self, source: str, whole: bool = False):
+        self.whole = whole
         self.sequence: list = []
         self.wanted: list[bool] = []
         self.has_content = False
@@ -134,16 +159,16 @@ class Page:
         while at < length:
             found = _TOKEN.search(source, at)
             if found is None:
-                if not unwanted:
+                if self.whole or not unwanted:
                     self._text(source[at:], linked)
                 break
             start = found.start()
-            if start > at and not unwanted:
+            if start > at and (self.whole or not unwanted):
                 self._text(source[at:start], linked)
             at = found.end()
             name = found[2] or found[5]
             if name is None:
-                if not unwanted and found[0].startswith("<![CDATA["):
+                if (self.whole or not unwanted) and found[0].startswith("<![CDATA["):
                     self._text(references.unescape(found[0][9:].removesuffix("]]>")).replace("&", "&amp;"), linked)
                 continue
             if found[5] is not None and not found[0].endswith(">"):
@@ -161,17 +186,17 @@ class Page:
                         break
                 outer = stack[-1] if stack else ("", False, False, False)
                 if name in BLOCK or name in CONTENT:
-                    self._close_block(inside)
+                    self._close_block(inside and not before)
                 _, unwanted, inside, linked = outer
-                if not before:
-                    self._tag(name, inside)
+                if self.whole or not before:
+                    self._tag(name, inside and not (self.whole and before))
                 continue
             attributes = found[3] if found[2] is not None else found[6]
             drop = unwanted or _unwanted(name, attributes or "", inside)
             if name in BLOCK:
-                self._close_block(inside)
-            if not unwanted and (not drop or name not in VOID):
-                self._tag(name, inside)
+                self._close_block(inside and not unwanted)
+            if self.whole or not unwanted and (not drop or name not in VOID):
+                self._tag(name, inside and not (self.whole and drop))
             if name in VOID:
                 continue
             if name in RAW and not (attributes or "").rstrip().endswith("/"):
@@ -188,7 +213,7 @@ class Page:
             stack.append((name, drop, content, linked or name == "a"))
             open_names[name] += 1
             unwanted, inside, linked = drop, content, linked or name == "a"
-        self._close_block(inside)
+        self._close_block(inside and not unwanted)
 
     def _tag(self, name: str, inside: bool) -> None:
         if name == "br":
@@ -209,11 +234,10 @@ class Page:
                 yield k, entry, 1
                 continue
             pieces, inline = entry
-            outside = self.has_content and not self.wanted[k]
             for text, linked in pieces:
                 count = len(text.split())
                 if count:
-                    yield k, OUTSIDE if outside else LINKED if linked else WORD, count
+                    yield k, LINKED if linked else WORD, count
             for name in inline:
                 yield k, name, 1
 
@@ -222,7 +246,10 @@ class Page:
         totals = [0.0] * len(self.sequence)
         tag = weights.get("other", -0.5)
         for k, kind, count in self.tokens():
-            totals[k] += count * weights.get(kind, tag)
+            if self.has_content and kind in (WORD, LINKED):
+                totals[k] += count * weights[WORD if self.wanted[k] else OUTSIDE]
+            elif not self.wanted[k]:
+                totals[k] += count * weights.get(kind, tag)
         best, best_range, total, start = 0.0, (0, 0), 0.0, 0
         for k, value in enumerate(totals):
             total += value
@@ -231,8 +258,9 @@ class Page:
             elif total > best:
                 best, best_range = total, (start, k + 1)
         blocks = []
-        for entry in self.sequence[best_range[0] : best_range[1]]:
-            if not isinstance(entry, str):
+        for k in range(*best_range):
+            entry = self.sequence[k]
+            if not isinstance(entry, str) and (self.wanted[k] or not self.has_content):
                 text = " ".join("".join(text for text, _ in entry[0]).split())
                 if text:
                     blocks.append(text)
@@ -250,9 +278,9 @@ def fit_weights(pages: DataFrame, id_column: str, html_column: str, fit_pages: i
         counts: Counter = Counter()
         for batch in batches:
             for source in batch.column(0).to_pylist():
-                page = Page(source)
+                page = Page(source, whole=True)
                 for k, kind, count in page.tokens():
-                    counts[WORD if kind == OUTSIDE else kind, page.wanted[k]] += count
+                    counts[kind, page.wanted[k]] += count
         kinds = list(counts)
         columns = [[k for k, _ in kinds], [w for _, w in kinds], [counts[k] for k in kinds]]
         types = [pa.string(), pa.bool_(), pa.int64()]
@@ -271,8 +299,8 @@ def fit_weights(pages: DataFrame, id_column: str, html_column: str, fit_pages: i
         odds -= math.log((found.get((kind, False), 0) + 1) / totals[False])
         if kind == WORD:
             weights[kind] = min(max(odds, 0.5), 3.0)
-        elif kind != OUTSIDE:
-            weights[kind] = min(max(odds, -4.0), -0.05)
+        else:
+            weights[kind] = min(max(odds, -4.0), 3.0 if kind == LINKED else -0.05)
     return weights
 
 

@@ -29,6 +29,25 @@ PAGES = {
     "empty": ("", ""),
     "only menu": ("<nav><a href='/'>Home</a></nav>", ""),
     "brackets": ("<article><p>1 < 2 and 3 > 2 <3</p></article>", "1 < 2 and 3 > 2 <3"),
+    "linked end": (
+        "<article><p>See the links below.</p><p><a href='/1'>First linked reference title</a></p><ul><li><a href='/2'>Second</a></li></ul></article>",
+        "See the links below.\nFirst linked reference title\nSecond",
+    ),
+    "heading ids": (
+        "<article><h2 id='related-work'>Related work</h2><section id='search-algorithms'><p>Search</p></section><section id='sharing-data'>"
+        "<p>Data</p></section><p id='notice'>Notice</p><pre><span class='hljs-comment'># code</span></pre></article>",
+        "Related work\nSearch\nData\nNotice\n# code",
+    ),
+    "boilerplate inside": (
+        "<article><p>Text.</p><div class='social-share'>Share</div><section id='comments'><p>I like it</p></section><p class='advert'>Buy</p>"
+        "<ul class='comment-list'><li>Me too</li></ul><div id='newsletter'>Join</div><p role='alert'>Cookies</p><p>End.</p></article>",
+        "Text.\nEnd.",
+    ),
+    "two articles": (
+        "<main><article><p>One two three four.</p></article></main><p>Between</p><main><p>Five six seven eight.</p></main>",
+        "One two three four.\nFive six seven eight.",
+    ),
+    "cells": ("<article>" + "<table><tr><td>x</td></tr></table>" * 50 + "<p>end</p></article>", "\n".join(["x"] * 50 + ["end"])),
     "long": ("<article>" + "<p>word</p>" * 20_000 + "</article>", "\n".join(["word"] * 20_000)),
     "deep": ("<div>" * 30_000 + ARTICLE, TEXT),
 }
@@ -60,20 +79,45 @@ def test_unmarked_page_by_scores():
 
 
 def test_best_run_equals_all_runs():
-    """The linear scan finds the same total as trying every run."""
+    """The linear scan finds the text of the best of all runs: the first that ends, without a tail that adds nothing."""
     import random
 
     rng = random.Random(3)
-    for _ in range(200):
-        source = "".join(rng.choice(["<p>a b c</p>", "<li><a>x y</a></li>", "<hr>", "<p>d</p>"]) for _ in range(8))
+    weights = {"word": 1.0, "linked word": -1.5, "p": -0.75, "li": -1.0, "hr": -2.0, "a": -0.5}
+    lengths = set()
+    for _ in range(300):
+        names = iter(f"w{k}" for k in range(100))
+        kinds = ["<p>{} {} {}</p>", "<li><a>{} {}</a></li>", "<hr>", "<p>{}</p>"]
+        source = "".join(re.sub(r"\{\}", lambda m: next(names), rng.choice(kinds)) for _ in range(8))
         page = extraction.Page(source)
-        weights = {"word": 1.0, "linked word": -1.5, "p": -0.7, "li": -1.0, "hr": -2.0, "a": -0.5}
-        totals = [0.0] * len(page.sequence)
-        for k, kind, n in page.tokens():
-            totals[k] += n * weights[kind]
-        best = max([0.0] + [sum(totals[i:j]) for i in range(len(totals)) for j in range(i + 1, len(totals) + 1)])
-        lines = page.best_text(weights).splitlines()
-        assert bool(lines) == (best > 0)
+        totals, words = [], []
+        for part in re.findall(r"<[^>]+>|[^<]+", source):
+            tag = re.match(r"</?(\w+)>", part)
+            if tag and tag[1] == "a":
+                continue
+            totals.append(weights[tag[1]] if tag else 0.0)
+            words.append("" if tag else part)
+            if not tag:
+                linked = f"<a>{part}</a>" in source
+                totals[-1] += len(part.split()) * weights["linked word" if linked else "word"] - linked * 1.0
+        runs = [(sum(totals[i:j]), -j, i) for i in range(len(totals)) for j in range(i + 1, len(totals) + 1)]
+        best, end, start = max(runs)
+        lines = [w for w in words[start:-end] if w] if best > 0 else []
+        assert page.best_text(weights).splitlines() == lines
+        lengths.add(len(lines))
+    assert len(lengths) > 3
+
+
+def test_weights_from_removed_regions(spark):
+    """Words and links of menus and footers are counted as outside, so the pages decide the weights."""
+    page = "<nav>" + "<a href='/'>menu</a>" * 5 + f"</nav>{ARTICLE}<footer>A long foot of page</footer>"
+    linked = page.replace("<p>First", "<p><a href='/'>" + "linked prose " * 50 + "</a></p><p>First")
+    few, many = [
+        extraction.fit_weights(spark.createDataFrame([(k, p) for k in range(4)], "id bigint, html string"), "id", "html")
+        for p in (page, linked)
+    ]
+    assert few["linked word"] < -1 < 0 < many["linked word"]
+    assert few["word"] < 3
 
 
 def test_pages_table(spark):
