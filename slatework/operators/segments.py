@@ -7,11 +7,13 @@ from earlier segments is brought along: copies of the last few rows
 (``rolling``), the last known value (``asof``) or a row count (``ordinal``).
 
 There is one plan for every size. Entities are counted (combined before the
-shuffle); for the large ones quantile sketches of the first order column bound
-the cuts, and where one of its values alone is too large, sketches of the second
-column. Only sketched buckets, a bounded number per entity, are planned by a
-window. The tables joined back have at most one row per ``rows`` input rows, so
-they are broadcast; while they are empty the adaptive planner drops their joins.
+shuffle). Only rows of the large ones, reduced to key and order columns, are read
+further: quantile sketches of the first order column bound the cuts, and where one
+of its values alone is too large, sketches of the second column. Only sketched
+buckets, a bounded number per entity, are planned by a window. What comes back is
+one list of segment borders per large entity, at most one row per ``rows`` input
+rows, so it is broadcast: the only join on the rows themselves. While no entity is
+large the adaptive planner drops that join and all that leads to it.
 """
 
 from __future__ import annotations
@@ -59,12 +61,20 @@ def _scalar(df: DataFrame, name: str) -> tuple[Column, bool]:
     return F.col(name), True
 
 
-def _bounds(keyed: DataFrame, by: list[str], value: str, rows: int, name: str) -> DataFrame:
-    """Sketched quantiles of ``value`` for the groups with more than ``rows`` rows."""
-    large = keyed.groupBy(*by).agg(F.count(F.lit(1)).alias("_rows")).filter(F.col("_rows") > rows)
-    of_large = attach(keyed, large, by, bounded=True).filter(F.col("_rows").isNotNull())
+def _only_large(df: DataFrame, by: list[str], rows: int) -> DataFrame:
+    """The rows of groups with more than ``rows`` rows."""
+    counted = df.groupBy(*by).agg(F.count(F.lit(1)).alias("_rows")).filter(F.col("_rows") > rows)
+    large = counted.select(*[F.col(k).alias(f"_key_{k}") for k in by])
+    cond = F.lit(True)
+    for key in by:
+        cond = cond & F.col(key).eqNullSafe(F.col(f"_key_{key}"))
+    return df.join(F.broadcast(large), cond, "left_semi")
+
+
+def _bounds(keyed: DataFrame, by: list[str], value: str, name: str) -> DataFrame:
+    """Sketched quantiles of ``value`` per group."""
     steps = [k / _QUANTILES for k in range(1, _QUANTILES)]
-    return of_large.groupBy(*by).agg(F.percentile_approx(value, steps, 4 * _QUANTILES).alias(name))
+    return keyed.groupBy(*by).agg(F.percentile_approx(value, steps, 4 * _QUANTILES).alias(name))
 
 
 def _bucket(bounds: Column, value: Column) -> Column:
@@ -75,34 +85,39 @@ def _bucket(bounds: Column, value: Column) -> Column:
 
 
 def _coded(df: DataFrame, by: list[str], order: list[str], rows: int) -> DataFrame:
-    """Rows plus ``_code``, which does not decrease along ``order``; null for entities that stay whole."""
+    """Key and order columns of the large entities plus ``_code``, which does not decrease along ``order``."""
     first, exact = _scalar(df, order[0])
-    named = df.withColumn("_v0", first)
-    out = attach(named, _bounds(named.select(*by, "_v0"), by, "_v0", rows, "_b0"), by, bounded=True)
-    out = out.withColumn("_q0", F.when(F.col("_b0").isNotNull(), _bucket(F.col("_b0"), F.col("_v0"))))
+    narrow = df.select(*dict.fromkeys([*by, *order[:2]]))
+    named = _only_large(narrow, by, rows).withColumn("_v0", first)
+    out = attach(named, _bounds(named.select(*by, "_v0"), by, "_v0", "_b0"), by, bounded=True)
+    out = out.withColumn("_q0", _bucket(F.col("_b0"), F.col("_v0")))
     low = F.lit(0)
     if len(order) > 1 and exact:
         # A bucket on a bound holds one value, or the nulls; there the second column decides.
         out = out.withColumn("_v1", _scalar(df, order[1])[0])
         single = out.filter((F.col("_q0") > 0) & _on_bound() | (F.col("_q0") == 0) & F.col("_v0").isNull())
         pair = [*by, "_q0"]
-        finer = _bounds(single.select(*pair, "_v1"), pair, "_v1", rows, "_b1")
+        finer = _bounds(_only_large(single.select(*pair, "_v1"), pair, rows), pair, "_v1", "_b1")
         out = attach(out, finer, pair, bounded=True)
         low = _bucket(F.col("_b1"), F.col("_v1"))
         # Nulls come before all values of the lowest bucket.
         low = F.when((F.col("_q0") == 0) & F.col("_v0").isNotNull(), F.lit(_CODES - 1)).otherwise(low)
         low = F.when((F.col("_q0") > 0) & ~_on_bound(), F.lit(0)).otherwise(low)
-    code = F.when(F.col("_q0").isNotNull(), F.col("_q0") * _CODES + low)
-    return out.withColumn("_code", code).drop("_v0", "_v1", "_b0", "_b1", "_q0")
+    return out.withColumn("_code", F.col("_q0") * _CODES + low).drop("_v0", "_v1", "_b0", "_b1", "_q0")
 
 
 def _on_bound() -> Column:
     return F.array_contains("_b0", F.col("_v0"))
 
 
-def _plan(coded: DataFrame, by: list[str], rows: int, halo: int) -> DataFrame:
-    """Per large entity the first code of each segment, the code its tail begins with, and the rows before it."""
-    counts = coded.filter(F.col("_code").isNotNull()).groupBy(*by, "_code").agg(F.count(F.lit(1)).alias("_n"))
+def _position(order: list[str]) -> Column:
+    """The first two order columns as one value; nulls come first, as in the order of a window."""
+    return F.struct(*[F.col(name).alias(f"o{k}") for k, name in enumerate(order[:2])])
+
+
+def _plan(coded: DataFrame, by: list[str], order: list[str], rows: int, halo: int) -> DataFrame:
+    """Per large entity the position at which each segment begins and its tail begins, and the rows before it."""
+    counts = coded.groupBy(*by, "_code").agg(F.count(F.lit(1)).alias("_n"), F.min(_position(order)).alias("_first"))
     entity = Window.partitionBy(*by)
     before = entity.orderBy("_code").rowsBetween(Window.unboundedPreceding, -1)
     cut = counts.withColumn("_before", F.coalesce(F.sum("_n").over(before), F.lit(0)))
@@ -115,8 +130,8 @@ def _plan(coded: DataFrame, by: list[str], rows: int, halo: int) -> DataFrame:
     after = Window.partitionBy(*by, "_seg").orderBy(F.desc("_code")).rowsBetween(Window.unboundedPreceding, -1)
     cut = cut.withColumn("_after", F.coalesce(F.sum("_n").over(after), F.lit(0)))
     segments = cut.groupBy(*by, "_seg").agg(
-        F.min("_code").alias("_from"),
-        F.min(F.when(F.col("_after") < halo, F.col("_code"))).alias("_tail"),
+        F.min("_first").alias("_from"),
+        F.min(F.when(F.col("_after") < halo, F.col("_first"))).alias("_tail"),
         F.min("_before").alias("_rows_before"),
     )
     listed = F.sort_array(F.collect_list(F.struct("_from", "_tail", "_rows_before")))
@@ -130,16 +145,16 @@ def with_segments(df: DataFrame, by: list[str], order: list[str], rows: int = SE
     more) of a segment, else null. ``_offset`` counts the rows before a segment.
     Rows that agree in the first two order columns stay together.
     """
-    coded = _coded(df, by, order, rows)
-    joined = attach(coded, _plan(coded.select(*by, "_code"), by, rows, halo), by, bounded=True)
-    segments, code = F.col("_segments"), F.col("_code")
+    plan = _plan(_coded(df, by, order, rows), by, order, rows, halo)
+    joined = attach(df, plan, by, bounded=True)
+    segments, position = F.col("_segments"), _position(order)
     whole = segments.isNull()
-    number = F.size(F.filter(segments, lambda s: s["_from"] <= code)) - 1
+    number = F.size(F.filter(segments, lambda s: s["_from"] <= position)) - 1
     here = F.get(segments, F.col("_seg"))
     last = F.size(segments) - 1
     return (
         joined.withColumn("_seg", F.when(whole, F.lit(0)).otherwise(number))
-        .withColumn("_next", F.when(~whole & (F.col("_seg") < last) & (code >= here["_tail"]), F.col("_seg") + 1))
+        .withColumn("_next", F.when(~whole & (F.col("_seg") < last) & (position >= here["_tail"]), F.col("_seg") + 1))
         .withColumn("_offset", F.when(whole, F.lit(0)).otherwise(here["_rows_before"]).cast("bigint"))
-        .drop("_segments", "_code")
+        .drop("_segments")
     )
