@@ -169,7 +169,12 @@ def _starter_before(tokens: Column, status: Column) -> Column:
 
 
 def card_rows(df: DataFrame, key: str, html: str) -> DataFrame:
-    """Lineup page to one row per listed player and probable starter."""
+    """Lineup page to one row per listed player and probable starter.
+
+    Lists are exploded by the outer forms and empty ones dropped afterwards: for the
+    plain forms Spark filters empty lists first, which computes every list once more
+    per place where it occurs.
+    """
     pages = df.select(
         key,
         F.date_format(page_title_date(F.concat_ws("\n", page_tokens(F.col(html))), PAGE_DATE), "yyyy-MM-dd").alias(
@@ -180,7 +185,7 @@ def card_rows(df: DataFrame, key: str, html: str) -> DataFrame:
     games = pages.select(
         key,
         "game_date",
-        F.posexplode(marked_segments(F.col("tokens"), lambda t: t.rlike(TIME_MARK))).alias("card", "t"),
+        F.posexplode_outer(marked_segments(F.col("tokens"), lambda t: t.rlike(TIME_MARK))).alias("card", "t"),
     )
     t = F.col("t")
     teams = F.filter(F.transform(t, lambda x: team_code(x, PAGE)), lambda x: x.isin(PAGE_TEAMS))
@@ -210,7 +215,7 @@ def card_rows(df: DataFrame, key: str, html: str) -> DataFrame:
         key,
         "game_date",
         "t",
-        F.inline(
+        F.inline_outer(
             F.array(
                 side(0, 1, F.get("status", F.lit(0)), "away_scan"),
                 side(1, 0, F.col("home_status"), "home_scan"),
@@ -250,5 +255,5 @@ def card_rows(df: DataFrame, key: str, html: str) -> DataFrame:
         "array<struct<record_type:string,player:string,order:bigint,position:string,hand:string,status:string>>"
     )), players)
     return rows.select(
-        key, "game_date", "team", "opponent", "is_home", F.explode(both).alias("r")
-    ).select(key, "game_date", "team", "opponent", "is_home", "r.*")
+        key, "game_date", "team", "opponent", "is_home", F.explode_outer(both).alias("r")
+    ).filter(F.col("r").isNotNull()).select(key, "game_date", "team", "opponent", "is_home", "r.*")
