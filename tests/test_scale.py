@@ -1,9 +1,14 @@
 """Plans whose tasks and rows keep their size as tables grow."""
 
+import datetime as dt
+
+import pytest
 from pyspark.sql import functions as F
 
-from slatework.catalog import base
-from slatework.operators import segments
+from slatework.catalog import base, views
+from slatework.operators import asof, segments
+from slatework.operators.rolling import rolling
+from slatework.plans import features, model
 
 
 def test_rows_carry_no_list_of_all_segments(spark, capsys):
@@ -24,3 +29,74 @@ def test_derived_tables_are_dealt_by_their_rows(spark, tmp_path, monkeypatch):
     lineups = base.Tables(spark, str(tmp_path)).dt_lineups
     assert lineups.count() == 18 * 400
     assert lineups.select(F.spark_partition_id().alias("task")).groupBy("task").count().agg(F.max("count")).first()[0] < 800
+
+
+def largest_task(df):
+    return df.select(F.spark_partition_id().alias("task")).groupBy("task").count().agg(F.max("count")).first()[0]
+
+
+def test_rolled_rows_are_dealt_by_their_number(spark, monkeypatch):
+    monkeypatch.setattr(segments, "TASK_ROWS", 100, raising=False)
+    df = spark.range(6000).select((F.col("id") % 900).alias("who"), F.col("id").alias("day"), F.lit(1.0).alias("v"))
+    rolled = rolling(df, "who", ["day"], sums=["v"], windows=(3,))
+    assert largest_task(rolled) < 400 and rolled.count() == 6000
+    assert rolled.filter("who = 7").agg(F.sum("v_roll3")).first()[0] == 0 + 1 + 2 + 3 * 4
+
+
+def facts(spark):
+    rows = [("a", 1, 1, 5.0), ("a", 1, 2, None), ("a", 3, 3, 7.0), ("b", 2, 4, 8.0), (None, 1, 5, 9.0), ("b", None, 6, 1.0)]
+    return spark.createDataFrame([(who, day and dt.date(2024, 1, day), g, v) for who, day, g, v in rows], "who string, day date, g int, v double")
+
+
+@pytest.mark.parametrize("segment_rows", [1, 100])
+def test_both_ways_of_the_asof_join_agree(spark, segment_rows, monkeypatch):
+    monkeypatch.setattr(asof, "SEGMENT_ROWS", segment_rows)
+    asks = [("a", 1), ("a", 2), ("a", 3), ("a", 4), ("b", 2), ("b", 3), ("z", 3), (None, 3), ("a", None), ("a", 4)]
+    left = spark.createDataFrame([(i, who, day and dt.date(2024, 1, day)) for i, (who, day) in enumerate(asks)], "k int, who string, day date")
+    strict = asof.asof_join(left, facts(spark), "who", "day", ["g", "v"], tie=["g"], segment_rows=segment_rows)
+    assert sorted(tuple(r) for r in strict.select("k", "g", "v").fillna(-1).collect()) == [
+        (0, -1, -1), (1, 2, -1), (2, 2, -1), (3, 3, 7), (4, -1, -1), (5, 4, 8), (6, -1, -1), (9, 3, 7),
+    ]
+    upto = asof.latest_by_row(left, facts(spark), "who", "who", "day", ["g"], ["g"], prefix="x_")
+    assert sorted(tuple(r) for r in upto.select("k", "x_g").fillna(-1).collect()) == [
+        (0, 2), (1, 2), (2, 3), (3, 3), (4, 4), (5, 4), (6, -1), (7, -1), (8, -1), (9, 3),
+    ]
+
+
+def test_asof_rows_are_dealt_by_their_number(spark, monkeypatch):
+    monkeypatch.setattr(segments, "TASK_ROWS", 100, raising=False)
+    day = F.date_add(F.lit("2024-01-01").cast("date"), (F.col("id") % 9).cast("int")).alias("day")
+    df = spark.range(6000).select("id", (F.col("id") % 900).alias("who"), day)
+    assert largest_task(asof.asof_join(df, df, "who", "day", ["id"], rename={"id": "found"})) < 400
+
+
+def test_player_rows_are_dealt_by_their_number(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(segments, "TASK_ROWS", 100, raising=False)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        day = F.lit("2024-05-01").cast("date").alias("game_date")
+        spine = spark.range(700).select(
+            F.col("id").alias("game_pk"), day, F.lit("NYY").alias("home_team"), F.lit("BOS").alias("away_team"),
+            F.lit(1).alias("home_starter_pitcher_id"), F.lit(2).alias("away_starter_pitcher_id"),
+            *[F.lit(1.0).alias(c) for c in features.WEATHER_DEFAULTS],
+        )
+        lineups = spark.range(7000).select(
+            (F.col("id") % 700).alias("game_pk"), day, F.lit("NYY").alias("team"), (F.col("id") % 2 == 0).alias("is_home"),
+            F.col("id").alias("player_id"),
+        )
+        early = F.lit("2024-04-01").cast("date").alias("game_date")
+        bat = spark.range(7000).select(F.col("id").alias("batter_id"), early, F.lit(1).alias("game_pk"), F.lit(0.25).alias("bat_iso_roll30"))
+        pit = spark.range(3).select(F.col("id").alias("pitcher_id"), early, F.lit(1).alias("game_pk"), F.col("id").cast("double").alias("pit_hr9_roll30"))
+        history = features.player_history(spine, lineups, bat, pit)
+        assert largest_task(history) < 600
+        found = history.groupBy("is_home", "opp_pitcher_id", "opp_pit_hr9", "bat_iso").count().collect()
+        assert sorted(tuple(r) for r in found) == [(False, 1, 1.0, 0.25, 3500), (True, 2, 2.0, 0.25, 3500)]
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_only_what_is_read_is_written(spark):
+    mart = spark.createDataFrame([(1, 1, 2001, "out", 0.1, 0.2, "x")], "game_pk int, pa_index int, season int, pa_outcome_target string, bat_pa_roll30 double, bat_pa_roll3 double, batter_name string")
+    assert model.columns_read(mart) == ["game_pk", "pa_index", "season", "pa_outcome_target", "bat_pa_roll30"]
+    view = spark.createDataFrame([("n", 0.1, 0.1, 1.0)], "player_name string, iso double, bat_iso double, env_temp_boost double")
+    assert views._staged_view(view, "view").columns == ["player_name", "iso"]
