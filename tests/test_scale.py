@@ -6,9 +6,9 @@ import pytest
 from pyspark.sql import functions as F
 
 from slatework.catalog import base, views
-from slatework.operators import asof, segments
+from slatework.operators import asof, segments, slates
 from slatework.operators.rolling import rolling
-from slatework.plans import features, model
+from slatework.plans import boards, features, model
 
 
 def test_rows_carry_no_list_of_all_segments(spark, capsys):
@@ -70,6 +70,30 @@ def test_asof_rows_are_dealt_by_their_number(spark, monkeypatch):
     assert largest_task(asof.asof_join(df, df, "who", "day", ["id"], rename={"id": "found"})) < 400
 
 
+def players(spark):
+    """Spine, lineups of both sides dealt by game, batter and pitcher rollings."""
+    day = F.lit("2024-05-01").cast("date").alias("game_date")
+    spine = spark.range(700).select(
+        F.col("id").alias("game_pk"), day, F.lit("NYY").alias("home_team"), F.lit("BOS").alias("away_team"),
+        F.lit(1).alias("home_starter_pitcher_id"), F.lit(2).alias("away_starter_pitcher_id"),
+        *[F.lit(1.0).alias(c) for c in features.WEATHER_DEFAULTS],
+    )
+    lineups = spark.range(7000).select(
+        (F.col("id") % 700).alias("game_pk"), day, F.lit("NYY").alias("team"), (F.col("id") % 2 == 0).alias("is_home"),
+        F.col("id").alias("player_id"),
+    )
+    early = F.lit("2024-04-01").cast("date").alias("game_date")
+    bat = spark.range(7000).select(F.col("id").alias("batter_id"), early, F.lit(1).alias("game_pk"), F.lit(0.25).alias("bat_iso_roll30"))
+    pit = spark.range(3).select(F.col("id").alias("pitcher_id"), early, F.lit(1).alias("game_pk"), F.col("id").cast("double").alias("pit_hr9_roll30"))
+    return spine, lineups, bat, pit
+
+
+def plan_of(df, capsys):
+    capsys.readouterr()
+    df.explain()
+    return capsys.readouterr().out
+
+
 def test_player_rows_are_dealt_by_their_number(spark, tmp_path, monkeypatch):
     monkeypatch.setattr(segments, "TASK_ROWS", 100, raising=False)
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
@@ -95,6 +119,52 @@ def test_player_rows_are_dealt_by_their_number(spark, tmp_path, monkeypatch):
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 
 
+def test_lineup_rows_move_once_and_carry_what_the_view_reads(spark, monkeypatch, capsys):
+    monkeypatch.setattr(segments, "TASK_ROWS", 100, raising=False)
+    spine, lineups, bat, pit = players(spark)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        history = features.player_history(spine, segments.dealt(lineups, 7000, "game_pk"), bat, pit, reads=features.TB2_READS)
+        plan = plan_of(history, capsys)
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    # Lineups to the games' tasks, sides to their starter and back, rows to their batter; the facts of both.
+    assert "hashpartitioning(game_pk" in plan and not any("game_date" in line for line in plan.splitlines() if "Exchange hashpartitioning" in line)
+    assert "bat_tb_per_pa" in history.columns and "bat_k_rate" not in history.columns and "opp_pit_bb_rate" not in history.columns
+
+
+def test_a_row_without_a_side_keeps_its_game_but_no_starter(spark):
+    spine, lineups, _, pit = players(spark)
+    rows = lineups.filter("player_id in (3, 4)").withColumn("is_home", F.when(F.col("player_id") == 4, True))
+    other_day = rows.withColumn("game_date", F.date_add("game_date", 1))
+    got = features._with_games(rows.unionByName(other_day), 4, spine.union(spine.limit(0)), pit, ["pit_hr9_roll30"], "opp_")
+    found = got.select("player_id", F.day("game_date").alias("day"), "home_team", "wind_mph", "opp_pitcher_id", "opp_pit_hr9_roll30").collect()
+    assert sorted(tuple(r) for r in found) == [
+        (3, 1, "NYY", 1.0, None, None), (3, 2, None, None, None, None), (4, 1, "NYY", 1.0, 2, 2.0), (4, 2, None, None, None, None),
+    ]
+
+
+def test_statistics_of_a_slate_do_not_move_its_rows(spark, capsys):
+    df = spark.range(4000).select((F.col("id") % 9).alias("day"), F.when(F.col("id") % 5 > 0, F.col("id") * 1.0).alias("v"))
+    filled = slates.fill_with_median(df, ["day"], {"v": 0.0})
+    scored = slates.zscore_by(filled, ["day"], "v", "z")
+    repaired = boards._repaired(df.withColumn("expected_hr_neutral", F.col("v")), "day")
+    for frame in (filled, scored, repaired):
+        plan = plan_of(frame, capsys)
+        assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan and "Exchange hashpartitioning" not in plan
+    assert filled.filter("v is null").count() == 0 and filled.count() == scored.count() == 4000
+
+
+def test_entities_are_counted_in_large_buckets_only(spark, monkeypatch):
+    asked = []
+    real = segments.key_bucket
+    monkeypatch.setattr(asof, "key_bucket", lambda *keys: asked.append(keys) or real(*keys))
+    df = spark.range(50).select("id", (F.col("id") % 5).alias("who"), F.lit("2024-01-01").cast("date").alias("day"))
+    assert asof.asof_join(df, df, "who", "day", ["id"], rename={"id": "found"}).count() == 50 and asked == [("_id",)]
+    large = segments._only_large(df.unionByName(df.filter("who = 3")), ["who"], 15).distinct()
+    assert {r["who"] for r in large.collect()} == {3}
+
+
 def test_only_what_is_read_is_written(spark):
     mart = spark.createDataFrame([(1, 1, 2001, "out", 0.1, 0.2, "x")], "game_pk int, pa_index int, season int, pa_outcome_target string, bat_pa_roll30 double, bat_pa_roll3 double, batter_name string")
     assert model.columns_read(mart) == ["game_pk", "pa_index", "season", "pa_outcome_target", "bat_pa_roll30"]
