@@ -165,6 +165,13 @@ def test_entities_are_counted_in_large_buckets_only(spark, monkeypatch):
     assert {r["who"] for r in large.collect()} == {3}
 
 
+def test_winner_views_read_the_shortest_window(spark, monkeypatch):
+    names = [f"{c}_roll{w}" for c in views._FORM_BAT + views._FORM_PIT for w in (7, 15)]
+    form = spark.range(1).select(*[F.lit(1).alias(c) for c in ("batter_id", "pitcher_id", "game_date", "game_pk")], *[F.lit(0.5).alias(c) for c in dict.fromkeys(names)])
+    monkeypatch.setattr(views, "_game_form", lambda t: (form, form))
+    assert not any(c.endswith("roll15") for part in views._week_form(None) for c in part.columns)
+
+
 def test_only_what_is_read_is_written(spark):
     mart = spark.createDataFrame([(1, 1, 2001, "out", 0.1, 0.2, "x")], "game_pk int, pa_index int, season int, pa_outcome_target string, bat_pa_roll30 double, bat_pa_roll3 double, batter_name string")
     assert model.columns_read(mart) == ["game_pk", "pa_index", "season", "pa_outcome_target", "bat_pa_roll30"]
