@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from slatework.catalog import base, views
-from slatework.operators import asof, segments, slates
+from slatework.operators import asof, resolve, segments, slates
 from slatework.operators.rolling import rolling
 from slatework.plans import boards, features, model
 
@@ -177,3 +177,20 @@ def test_only_what_is_read_is_written(spark):
     assert model.columns_read(mart) == ["game_pk", "pa_index", "season", "pa_outcome_target", "bat_pa_roll30"]
     view = spark.createDataFrame([("n", 0.1, 0.1, 1.0)], "player_name string, iso double, bat_iso double, env_temp_boost double")
     assert views._staged_view(view, "view").columns == ["player_name", "iso"]
+
+
+def test_name_keys_are_made_once_and_in_tasks_of_bounded_size(spark, monkeypatch, capsys):
+    monkeypatch.setattr(resolve, "NAME_TASK_ROWS", 100, raising=False)
+    people = spark.range(0, 3000, 1, 1).select(
+        F.col("id").alias("player_id"), F.concat(F.lit("x n"), F.col("id").cast("string")).alias("player_name"), F.lit("t").alias("team")
+    )
+    key = F.reverse(F.reverse(F.lower("player_name")))
+    rows = resolve.key_rows(people, "player_id", key, [resolve.EXACT, resolve.LAST])
+    assert plan_of(rows, capsys).count("reverse(reverse(") == 1 and rows.count() == 6000
+    assert "RoundRobinPartitioning(30)" in plan_of(resolve.build_lookup([people], "player_id"), capsys)
+    spread = []
+    monkeypatch.setattr(resolve, "stage", lambda df, label: spread.append(largest_task(df)) or df, raising=False)
+    lookup = resolve.key_rows(people.withColumn("team", F.lit("T")), "player_id", key, [resolve.EXACT])
+    found = resolve.resolve_ids(people.drop("player_id"), lookup, "player_name", "player_id", "how", [(resolve.EXACT, "exact")], key)
+    assert found.filter("how = 'exact' and player_name = concat('x n', player_id)").count() == 3000
+    assert spread and spread[0] <= 110
