@@ -297,8 +297,10 @@ def _summary(table: str, label: str) -> str:
     left join dt_starters hs on hs.game_pk = g.game_pk and hs.is_home left join dt_starters aw on aw.game_pk = g.game_pk and not aw.is_home""",
 )
 def _(t: Tables) -> DataFrame:
+    parks = t.dt_parks
+    t.deal_games()
     out = spine.build_spine(
-        t.dt_games, t.dt_games, t.dt_weather, t.dt_parks, t.dt_projected, t.dt_confirmed, t.dt_starters
+        t.dt_games, t.dt_games, t.dt_weather, parks, t.dt_projected, t.dt_confirmed, t.dt_starters
     )
     return out.select(
         "game_pk", "game_date", "home_team", "away_team", "temperature_f", "park_factor_hr", "home_score",

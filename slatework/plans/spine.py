@@ -18,6 +18,7 @@ from slatework.functions.text import degrees_text
 from slatework.operators.dedupe import last_per_key
 from slatework.operators.quality import assert_unique, share
 from slatework.operators.shape import pick, stack
+from slatework.session import stage
 
 _READ = {
     "i": (int_of, "bigint"),
@@ -148,26 +149,26 @@ def starter_summary(starters: DataFrame, order: list[str]) -> DataFrame:
 
 
 def _one_of(keys: list[str], parts: dict[str, tuple[DataFrame, list[str]]], check: bool) -> DataFrame:
-    """One row per key with a struct per part: all parts stacked, one aggregate.
+    """One row per key with the columns of every part as ``part.column``: all parts stacked, one aggregate.
 
     A part is (rows with the keys, order columns). Of several rows of a key the
     last by the order counts; without an order a second row stops the job, which
-    the same aggregate notices.
+    the same aggregate notices. Columns are folded singly, so that those nobody
+    reads are never made. ``_n_part`` counts a part's rows.
     """
-    stacked = []
+    stacked, aggregates, fine = [], [], F.lit(True)
     for label, (df, order) in parts.items():
         # Nulls sort last, as newest.
-        newest = F.struct(*[x for o in order for x in (F.col(o).isNull().alias(f"{o}_null"), F.col(o).alias(o))] or [F.lit(0).alias("none")])
-        value = F.struct(*[c for c in df.columns if c not in (*keys, *order)])
-        stacked.append(df.select(*keys, value.alias(label), newest.alias(f"_order_{label}")))
-    aggregates, fine = [], F.lit(True)
-    for label, (_, order) in parts.items():
-        aggregates += [F.max_by(label, f"_order_{label}").alias(label), F.count(label).alias(f"_n_{label}")]
+        newest = F.struct(*[x for o in order for x in (F.col(o).isNull().alias(f"{o}_null"), F.col(o).alias(o))]) if order else F.lit(0)
+        names = [c for c in df.columns if c not in (*keys, *order)]
+        stacked.append(df.select(*keys, *[F.col(c).alias(f"{label}.{c}") for c in names], newest.alias(f"_order_{label}")))
+        aggregates += [F.max_by(f"`{label}.{c}`", f"_order_{label}").alias(f"{label}.{c}") for c in names]
+        aggregates.append(F.count(f"_order_{label}").alias(f"_n_{label}"))
         if check and not order:
             texts = [F.concat(F.lit(f" {k}="), F.coalesce(F.col(k).cast("string"), F.lit("null"))) for k in keys]
             stop = F.raise_error(F.concat(F.lit(f"{label}: repeated key"), *texts)).cast("boolean")
             fine = fine & F.when(F.col(f"_n_{label}") > 1, stop).otherwise(True)
-    return stack(stacked).groupBy(*keys).agg(*aggregates).filter(fine).select(*keys, *parts)
+    return stack(stacked).groupBy(*keys).agg(*aggregates).filter(fine)
 
 
 def _ordered(df: DataFrame, fields, order: list[str]) -> tuple[DataFrame, list[str]]:
@@ -193,7 +194,8 @@ def build_spine(
     rows of a key is the last. Schedule, games and weather are stacked and folded
     per game, lineups and starters per game and team; each fold is one aggregate,
     which with ``check`` also verifies the declared cardinalities: a repeated key
-    stops the job. Nothing runs before the plan is executed.
+    stops the job. Inputs that are dealt by game alike are not moved again. Only the
+    fold of the parks runs before the plan is executed.
     """
     orders = {"games": [], "weather": [], "parks": [], "starters": ["pitcher_id"], **(orders or {})}
     base = prep_schedule(schedule, check=False)
@@ -201,29 +203,34 @@ def build_spine(
     for name, df, fields in (("games", games, GAMES), ("weather", weather, WEATHER)):
         if df is not None:
             per_game[name] = _ordered(df, fields, orders[name])
-    folded = _one_of(["game_pk"], per_game, check).filter(F.col("schedule").isNotNull())
-    out = folded.select("game_pk", *[f"{name}.*" for name in per_game])
-    out = out.withColumns({f"_{w}_norm": team_code(F.col(f"{w}_team"), SPINE) for w in ("away", "home")})
-    if parks is not None:
-        rows, order = _ordered(parks, PARKS, orders["parks"])
-        side = _one_of(["venue_id"], {"parks": (rows, order)}, check).select("venue_id", "parks.*")
-        out = out.join(side, "venue_id", "left").select("game_pk", *[c for c in out.columns if c != "game_pk"], *side.columns[1:])
+    folded = _one_of(["game_pk"], per_game, check).filter(F.col("_n_schedule") > 0)
+    inner = [f"{label}.{c}" for label, (df, order) in per_game.items() for c in df.columns if c not in ("game_pk", *order)]
+    out = folded.select("game_pk", *[F.col(f"`{c}`").alias(c.split(".")[1]) for c in inner])
+    columns = out.columns
     sides = {label: lineup_summary(df, label) for label, df in (("projected", projected), ("confirmed", confirmed)) if df is not None}
     if starters is not None:
         sides["starters"] = starter_summary(starters, orders["starters"])
+    wide = {f"{w}_{c}": (f"{label}.{c}", w) for label, df in sides.items() for w in ("away", "home") for c in df.columns if c not in ("game_pk", "team")}
     if sides:
         per_team = {
             label: (df.withColumn("_norm", team_code(F.col("team"), SPINE)).drop("team"), []) for label, df in sides.items()
         }
-        teams = _one_of(["game_pk", "_norm"], per_team, check)
-        for where in ("away", "home"):
-            named = teams.select("game_pk", F.col("_norm").alias(f"_{where}_norm"), *[F.col(x).alias(f"_{where}_{x}") for x in sides])
-            out = out.join(named, ["game_pk", f"_{where}_norm"], "left")
-        wide = {
-            f"{where}_{c}": F.col(f"_{where}_{label}")[c]
-            for label, df in sides.items() for where in ("away", "home") for c in df.columns if c not in ("game_pk", "team")
-        }
-        out = out.withColumns(wide).drop(*[f"_{where}_{x}" for where in ("away", "home") for x in sides])
+        teams = _one_of(["game_pk", "_norm"], per_team, check).withColumnRenamed("game_pk", "_game_pk")
+        named = out.withColumns({f"_{w}_norm": team_code(F.col(f"{w}_team"), SPINE) for w in ("away", "home")})
+        # Joined and put beside each other by game alone, where the teams of a game already lie.
+        plays = (F.col("_norm") == F.col("_away_norm")) | (F.col("_norm") == F.col("_home_norm"))
+        both = named.join(teams, (F.col("game_pk") == F.col("_game_pk")) & plays, "left")
+        out = both.groupBy("game_pk").agg(
+            *[F.max(c).alias(c) for c in columns if c != "game_pk"],
+            *[F.max(F.when(F.col("_norm") == F.col(f"_{w}_norm"), F.col(f"`{c}`"))).alias(n) for n, (c, w) in wide.items()],
+        )
+    if parks is not None:
+        rows, order = _ordered(parks, PARKS, orders["parks"])
+        side = _one_of(["venue_id"], {"parks": (rows, order)}, check)
+        names = [c for c in rows.columns if c not in ("venue_id", *order)]
+        # Written, so that its size is known and games are not moved to meet a few parks.
+        side = stage(side.select("venue_id", *[F.col(f"`parks.{c}`").alias(c) for c in names]), "parks")
+        out = out.join(side, "venue_id", "left").select(*columns, *names, *wide)
     flags = [f"{w}_{c}" for c in ("projected_lineup_found", "confirmed_lineup_found", "starter_found") for w in ("away", "home")]
     out = out.withColumns({c: F.coalesce(c, F.lit(False)) if c in out.columns else F.lit(False) for c in flags})
     both = {
@@ -233,7 +240,7 @@ def build_spine(
     }
     return out.withColumns(
         {name: F.col(f"away_{c}") & F.col(f"home_{c}") for name, c in both.items()}
-    ).drop("_away_norm", "_home_norm")
+    )
 
 
 def coverage(spine: DataFrame) -> DataFrame:
