@@ -6,23 +6,28 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from slatework.operators.asof import latest_rows, latest_with_fallback
-from slatework.operators.dedupe import first_per_key, top_rows
-from slatework.operators.shape import prefixed, starting_with
+from slatework.operators.dedupe import top_rows
+from slatework.operators.shape import stack, starting_with
 
 LINEUP_SIZE = 9
 
 
-def ordered_ids(lineups: DataFrame, n: int = LINEUP_SIZE, name: str = "ids") -> DataFrame:
-    """First ``n`` ids per game and team in slot order, comma-joined.
-
-    Rows are limited to ``n`` per team before they are gathered.
-    """
+def _ids(lineups: DataFrame, n: int, name: str) -> DataFrame:
+    """First ``n`` known ids per game and team in slot order, and how many there are."""
     known = lineups.filter(F.col("player_id").isNotNull())
     order = [F.asc_nulls_last("batting_order"), F.asc("player_id")]
     first = top_rows(known, ["game_pk", "team"], order, n, "_slot")
     gathered = F.array_sort(F.collect_list(F.struct("_slot", "player_id")))
     ids = F.transform(gathered, lambda s: s["player_id"].cast("string"))
-    return first.groupBy("game_pk", "team").agg(F.concat_ws(",", ids).alias(name))
+    return first.groupBy("game_pk", "team").agg(F.concat_ws(",", ids).alias(name), F.count(F.lit(1)).alias("_n"))
+
+
+def ordered_ids(lineups: DataFrame, n: int = LINEUP_SIZE, name: str = "ids") -> DataFrame:
+    """First ``n`` ids per game and team in slot order, comma-joined.
+
+    Rows are limited to ``n`` per team before they are gathered.
+    """
+    return _ids(lineups, n, name).drop("_n")
 
 
 def id_rows(df: DataFrame, keep: list[str], ids: str) -> DataFrame:
@@ -38,23 +43,25 @@ def id_rows(df: DataFrame, keep: list[str], ids: str) -> DataFrame:
     )
 
 
+def _stacked(*frames: DataFrame) -> DataFrame:
+    """Union by name, columns named anew: of frames with a common origin a union does not see that they are dealt alike."""
+    return stack([df.toDF(*df.columns) for df in frames])
+
+
 def _complete(lineups: DataFrame, label: str) -> DataFrame:
-    """Teams with a full lineup of known ids."""
-    counts = (
-        lineups.groupBy("game_pk", "team")
-        .agg(F.count("player_id").alias("_n"))
-        .filter(F.col("_n") >= LINEUP_SIZE)
-        .drop("_n")
-    )
-    return counts.join(ordered_ids(lineups, name=label), ["game_pk", "team"])
+    """Teams with a full lineup of known ids: its first ids are as many as a lineup has."""
+    named = lineups.filter(F.col("game_pk").isNotNull() & F.col("team").isNotNull())
+    return _ids(named, LINEUP_SIZE, label).filter(F.col("_n") == LINEUP_SIZE).drop("_n")
 
 
 def choose_lineups(projected: DataFrame, confirmed: DataFrame) -> DataFrame:
-    """Per team the confirmed lineup if complete, else the projected one, with its source."""
-    both = _complete(confirmed, "_confirmed").join(
-        _complete(projected, "_projected"), ["game_pk", "team"], "full"
-    )
-    return both.select(
+    """Per team the confirmed lineup if complete, else the projected one, with its source.
+
+    Both sources are stacked and folded, so lineups dealt by game stay where they are.
+    """
+    both = _stacked(_complete(confirmed, "_confirmed"), _complete(projected, "_projected"))
+    folded = both.groupBy("game_pk", "team").agg(*[F.max(c).alias(c) for c in ("_confirmed", "_projected")])
+    return folded.select(
         "game_pk",
         "team",
         F.coalesce("_confirmed", "_projected").alias("batters"),
@@ -79,28 +86,29 @@ def choose_by_rows(projected: DataFrame, confirmed: DataFrame) -> DataFrame:
 def slate_games(
     spine: DataFrame, projected: DataFrame, confirmed: DataFrame, starters: DataFrame
 ) -> DataFrame:
-    """Games ready to be played through: both lineups and both starters known."""
+    """Games ready to be played through: both lineups and both starters known.
+
+    Teams are folded, joined and put beside each other by game alone: inputs that are
+    dealt by game alike are not moved again, and lineups are chosen once for both sides.
+    """
     lineups = choose_lineups(projected, confirmed)
-    first = first_per_key(starters, ["game_pk", "team"], ["pitcher_id"]).select(
-        "game_pk", "team", "pitcher_id"
-    )
-    ready = lineups.join(first, ["game_pk", "team"]).filter(F.col("pitcher_id").isNotNull())
-    out = spine.select("game_pk", "game_date", "away_team", "home_team")
-    for side in ("away", "home"):
-        named = prefixed(ready, f"{side}_", ["game_pk"])
-        out = out.join(named, ["game_pk", f"{side}_team"])
-    return out.select(
-        "game_pk",
-        "game_date",
-        "away_team",
-        "home_team",
-        "away_batters",
-        "home_batters",
-        "away_pitcher_id",
-        "home_pitcher_id",
-        "away_lineup_source",
-        "home_lineup_source",
+    teams = _stacked(lineups, starters.select("game_pk", "team", "pitcher_id")).groupBy("game_pk", "team")
+    known = teams.agg(*[F.max(c).alias(c) for c in ("batters", "lineup_source")], F.min("pitcher_id").alias("pitcher_id"))
+    ready = known.filter(F.col("batters").isNotNull() & F.col("pitcher_id").isNotNull())
+    ready = ready.withColumnsRenamed({"game_pk": "_game_pk", "team": "_name"})
+    game = ["game_pk", "game_date", "away_team", "home_team"]
+    sides = [F.struct(F.lit(s).alias("_side"), F.col(f"{s}_team").alias("_team")) for s in ("away", "home")]
+    # The team is compared as a range, since an equal key would be dealt by, too.
+    same = (F.col("game_pk") == F.col("_game_pk")) & F.col("_team").between(F.col("_name"), F.col("_name"))
+    found = spine.select(*game, F.inline(F.array(*sides))).join(ready, same)
+    values = ["batters", "pitcher_id", "lineup_source"]
+    out = found.groupBy(*game).agg(
+        *[F.max(F.when(F.col("_side") == s, F.col(v))).alias(f"{s}_{v}") for v in values for s in ("away", "home")],
+        *[F.count_if(F.col("_side") == s).alias(f"_{s}") for s in ("away", "home")],
     )
+    # A game that the spine lists several times comes as often.
+    times = F.explode(F.sequence(F.lit(1), F.col("_away").cast("int"))).alias("_time")
+    return out.filter("_away > 0 and _home > 0").select("*", times).drop("_away", "_home", "_time")
 
 
 def batter_inputs(

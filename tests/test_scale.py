@@ -8,7 +8,8 @@ from pyspark.sql import functions as F
 from slatework.catalog import base, views
 from slatework.operators import asof, resolve, segments, slates
 from slatework.operators.rolling import rolling
-from slatework.plans import boards, features, model
+from slatework.plans import boards, features, inputs, model
+from slatework.plans import spine as spines
 
 
 def test_rows_carry_no_list_of_all_segments(spark, capsys):
@@ -194,3 +195,51 @@ def test_name_keys_are_made_once_and_in_tasks_of_bounded_size(spark, monkeypatch
     found = resolve.resolve_ids(people.drop("player_id"), lookup, "player_name", "player_id", "how", [(resolve.EXACT, "exact")], key)
     assert found.filter("how = 'exact' and player_name = concat('x n', player_id)").count() == 3000
     assert spread and spread[0] <= 110
+
+
+def teams_dealt_by_game(spark):
+    """Games, lineups and starters of both sides, all dealt by game alike."""
+    day = F.lit("2024-05-01").cast("date").alias("game_date")
+    games = spark.range(40).select(
+        F.col("id").alias("game_pk"), day, F.lit(2024).alias("season"), F.lit("NYY").alias("home_team"), F.lit("BOS").alias("away_team"),
+        (F.col("id") % 3).alias("venue_id"),
+    ).repartition(6, "game_pk")
+    sides = games.select("game_pk", F.explode(F.array(F.lit("NYY"), F.lit("BOS"))).alias("team"))
+    lineups = sides.select("*", F.explode(F.sequence(F.lit(1), F.lit(9))).alias("batting_order")).select(
+        "*", (F.col("game_pk") * 10 + F.col("batting_order")).alias("player_id"), F.lit("n").alias("player_name")
+    )
+    return games, lineups, sides.withColumn("pitcher_id", F.col("game_pk") + 1)
+
+
+def rows_moved(df, capsys):
+    return sum("Exchange hashpartitioning" in line and "ENSURE_REQUIREMENTS" in line for line in plan_of(df, capsys).splitlines())
+
+
+def test_games_of_a_slate_are_put_together_where_they_lie(spark, capsys):
+    games, lineups, starters = teams_dealt_by_game(spark)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        short = lineups.filter("game_pk % 2 = 0 or batting_order < 9")
+        chosen = inputs.slate_games(games, lineups, short, starters.filter("game_pk <> 8"))
+        assert rows_moved(chosen, capsys) == 0
+        found = chosen.groupBy("home_lineup_source", "away_lineup_source").count().collect()
+        assert sorted(tuple(r) for r in found) == [("confirmed", "confirmed", 19), ("projected", "projected", 20)]
+        assert chosen.filter("game_pk = 3").first()["home_batters"] == ",".join(str(30 + k) for k in range(1, 10))
+        # A game listed twice comes twice, one whose teams are unknown not at all.
+        listed = games.filter("game_pk = 3").unionByName(games.filter("game_pk in (3, 4)").withColumn("away_team", F.when(F.col("game_pk") == 3, "BOS")))
+        assert [r["game_pk"] for r in inputs.slate_games(listed, lineups, short, starters).collect()] == [3, 3]
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_the_spine_is_assembled_where_games_lie(spark, capsys):
+    games, lineups, starters = teams_dealt_by_game(spark)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        out = spines.build_spine(games, games, None, None, lineups, lineups, starters)
+        # Columns that nobody reads are not folded either.
+        read = out.select("game_pk", "home_projected_distinct_players", "away_starter_pitcher_id", "starters_both_found")
+        assert rows_moved(read, capsys) == 0 and "first_batter" not in plan_of(read, capsys)
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert {tuple(r)[1:] for r in read.select("game_pk", "home_projected_distinct_players", F.col("away_starter_pitcher_id") - F.col("game_pk"), "starters_both_found").collect()} == {(9, 1, True)}
