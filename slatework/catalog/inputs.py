@@ -324,7 +324,8 @@ def _(t: Tables) -> DataFrame:
             "",
         ).alias("list")
     )
-    sides = t.dt_starters.join(teams, ["game_pk", "team"]).withColumn(
+    # Merged, not broadcast: the planner takes a rendered list for no larger than the schedule's file.
+    sides = t.dt_starters.join(teams.hint("merge"), ["game_pk", "team"]).withColumn(
         "h",
         F.concat(
             F.lit("<p>"), "pitcher_name", F.lit("</p><b>"), "throws",
@@ -333,8 +334,8 @@ def _(t: Tables) -> DataFrame:
     )
     games = (
         t.dt_games.select("game_pk", "away_team", "home_team")
-        .join(sides.select("game_pk", F.col("team").alias("away_team"), F.col("h").alias("away")), ["game_pk", "away_team"])
-        .join(sides.select("game_pk", F.col("team").alias("home_team"), F.col("h").alias("home")), ["game_pk", "home_team"])
+        .join(sides.select("game_pk", F.col("team").alias("away_team"), F.col("h").alias("away")).hint("merge"), ["game_pk", "away_team"])
+        .join(sides.select("game_pk", F.col("team").alias("home_team"), F.col("h").alias("home")).hint("merge"), ["game_pk", "home_team"])
     )
     html = F.concat(
         F.lit("<title>Starting MLB lineups for May 1, 2001</title><div>7:05 PM ET</div><div>"),

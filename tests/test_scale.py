@@ -243,3 +243,17 @@ def test_the_spine_is_assembled_where_games_lie(spark, capsys):
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     assert {tuple(r)[1:] for r in read.select("game_pk", "home_projected_distinct_players", F.col("away_starter_pitcher_id") - F.col("game_pk"), "starters_both_found").collect()} == {(9, 1, True)}
+
+
+def test_lineup_cards_broadcast_no_rendered_list(spark, tmp_path, capsys):
+    orders = spark.range(40).select(
+        F.col("id").alias("o_orderkey"), (F.col("id") % 50).alias("o_custkey"), F.lit("F").alias("o_orderstatus"),
+        F.lit(10.0).alias("o_totalprice"), F.lit("2001-05-01").cast("timestamp").alias("o_orderdate"),
+    )
+    orders.write.parquet(f"{tmp_path}/orders.parquet")
+    spark.range(30).withColumnRenamed("id", "p_partkey").write.parquet(f"{tmp_path}/part.parquet")
+    spark.range(30).withColumnRenamed("id", "s_suppkey").write.parquet(f"{tmp_path}/supplier.parquet")
+    cards = base.registered()["io15_lineup_cards"](spark, str(tmp_path))
+    cards.explain()
+    assert "Broadcast" not in capsys.readouterr().out
+    assert cards.filter("record_type = 'lineup'").count() == 18 * 40
