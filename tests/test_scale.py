@@ -9,6 +9,7 @@ from slatework.catalog import base, views
 from slatework.operators import asof, resolve, segments, slates
 from slatework.operators.rolling import rolling
 from slatework.plans import boards, features, inputs, model
+from slatework.plans import mart as marts
 from slatework.plans import spine as spines
 
 
@@ -257,3 +258,34 @@ def test_lineup_cards_broadcast_no_rendered_list(spark, tmp_path, capsys):
     cards.explain()
     assert "Broadcast" not in capsys.readouterr().out
     assert cards.filter("record_type = 'lineup'").count() == 18 * 40
+
+
+@pytest.fixture
+def unhinted(spark):
+    """No table is small enough to broadcast."""
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    yield
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+def test_the_mart_joins_where_the_games_lie(spark, unhinted, capsys):
+    day = F.lit("2001-05-01").cast("date")
+    pa = spark.range(60).select(
+        (F.col("id") % 6).alias("game_pk"), (F.col("id") % 4).alias("batter_id"), (F.col("id") % 3).alias("pitcher_id"),
+        day.alias("game_date"), F.col("id").alias("pa_index"), F.lit(True).alias("is_pa"),
+    )
+    pa = segments.dealt(pa, 60, "game_pk")
+    games = spark.range(24).select((F.col("id") % 6).alias("game_pk"), (F.col("id") % 5).alias("batter_id"), F.col("id").alias("hits_roll7"))
+    games = games.dropDuplicates(["game_pk", "batter_id"]).filter("batter_id <> 2")
+    arms = games.withColumnsRenamed({"batter_id": "pitcher_id", "hits_roll7": "outs_roll7"})
+    built = marts.build_mart(pa, games, arms)
+    plain = pa.join(games, ["game_pk", "batter_id"], "left").join(arms, ["game_pk", "pitcher_id"], "left")
+    got = built.select("pa_index", "bat_hits_roll7", "pit_outs_roll7").collect()
+    assert sorted(map(str, got)) == sorted(
+        map(str, plain.select("pa_index", F.col("hits_roll7").alias("bat_hits_roll7"), F.col("outs_roll7").alias("pit_outs_roll7")).collect())
+    )
+    capsys.readouterr()
+    mart_only = marts.build_mart(pa, spark.createDataFrame(games.collect(), games.schema), spark.createDataFrame(arms.collect(), arms.schema))
+    mart_only.explain()
+    assert capsys.readouterr().out.count("Exchange hashpartitioning") == 3
