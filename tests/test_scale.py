@@ -289,3 +289,30 @@ def test_the_mart_joins_where_the_games_lie(spark, unhinted, capsys):
     mart_only = marts.build_mart(pa, spark.createDataFrame(games.collect(), games.schema), spark.createDataFrame(arms.collect(), arms.schema))
     mart_only.explain()
     assert capsys.readouterr().out.count("Exchange hashpartitioning") == 3
+
+
+def test_first_inning_views_read_part_of_the_form(spark, monkeypatch):
+    names = [f"{c}_roll{w}" for c in views._FORM_BAT + views._FORM_PIT for w in (7, 15)]
+    form = spark.range(1).select(*[F.lit(1).alias(c) for c in ("batter_id", "pitcher_id", "game_date", "game_pk")], *[F.lit(0.5).alias(c) for c in dict.fromkeys(names)])
+    monkeypatch.setattr(views, "_game_form", lambda t: (form, form))
+    assert [len(part.columns) for part in views._early_form(None)] == [6, 10]
+
+
+def test_game_views_ask_both_starters_at_once(spark, monkeypatch):
+    asked, real = [], features.latest_by_row
+    monkeypatch.setattr(features, "latest_by_row", lambda left, *a, **k: asked.append(left.columns) or real(left, *a, **k))
+    day = dt.date(2024, 5, 1)
+    spine = spark.createDataFrame(
+        [(1, day, "A", "B", 1, 2), (None, day, "A", "B", 2, None), (2, day, "A", None, None, 1), (2, dt.date(2024, 5, 2), "C", "A", 1, 1)],
+        "game_pk int, game_date date, home_team string, away_team string, home_sp_id int, away_sp_id int",
+    )
+    lineups = spark.createDataFrame(
+        [(g, day, team, who, 1) for g in (1, 2) for team, who in (("A", 11), ("B", 12), (None, 11))],
+        "game_pk int, game_date date, team string, player_id int, batting_order int",
+    )
+    bat = spark.createDataFrame([(0, dt.date(2024, 4, 30), 11, 1.0)], "game_pk int, game_date date, batter_id int, rbi_roll7 double")
+    pit = spark.createDataFrame([(0, dt.date(2024, 4, 30), k, k / 4) for k in (1, 2)], "game_pk int, game_date date, pitcher_id int, k_rate_roll7 double")
+    view = features.moneyline_view(spine, lineups, bat, pit)
+    assert asked[0] == ["game_pk", "game_date", "_side", "_arm"] and len(asked) == 2
+    got = {r.game_pk: (r.game_date, r.home_sp_k_rate_roll7, r.away_sp_k_rate_roll7, r.home_team_rbi_roll7, r.away_team_lineup_count) for r in view.collect()}
+    assert got == {1: (day, 0.25, 0.5, 1.0, 1), None: (day, 0.5, None, None, None), 2: (day, None, 0.25, 1.0, None)}
