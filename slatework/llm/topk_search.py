@@ -8,8 +8,8 @@ In each other bucket the threshold becomes a local cosine threshold: from
 query bound the same coordinates of any row within that angle; a coordinate
 beyond the cosine bounds one side only), below it by length alone. Products of the remaining rows are computed exactly.
 
-Queries and vectors meet in blocks, joined by bucket number; the driver reads
-one pair of numbers per bucket. Nothing is cut off: ties at the k-th place are
+Queries go to groups of buckets by the group's number and pass a task in small
+batches; the driver reads three numbers per group and one bucket. Nothing is cut off: ties at the k-th place are
 decided by the smaller id inside every bucket and again over all buckets.
 
 Defined results: vectors that are null or hold null or non-finite components
@@ -21,19 +21,22 @@ table gives no rows.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from slatework.session import stage
 
 BUCKET = 1024
+#: Most numbers of a group; its buckets are held by one task.
+GROUP = 4 << 20
 COSINE = 0.55
 SCALE = 256
-_FIELDS = "rows int, width int, longest double, uids binary, ids binary, numbers binary"
 _NAMES = ["rows", "width", "longest", "uids", "ids", "numbers"]
 
 
@@ -58,36 +61,6 @@ def _packed(uids, ids, lists) -> list:
     return [len(lists), numbers.shape[1], float(norms.max()), uids.tobytes(), ids.tobytes(), numbers.tobytes()]
 
 
-def blocks(rows: DataFrame, size: int) -> DataFrame:
-    """Rows of each partition, in their order, as packed blocks of at most ``size``."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        from pyspark import TaskContext
-
-        number = TaskContext.get().partitionId() << 32
-        held = None
-        for batch in batches:
-            table = pa.Table.from_batches([batch])
-            held = table if held is None else pa.concat_tables([held, table])
-            while held.num_rows >= size:
-                yield one(held.slice(0, size), number)
-                held, number = held.slice(size), number + 1
-        if held is not None and held.num_rows:
-            yield one(held, number)
-
-    def one(table: pa.Table, number: int) -> pa.RecordBatch:
-        lists = [x.values.to_numpy(zero_copy_only=False) if x.values is not None else [] for x in table.column("v").combine_chunks()]
-        uids, ids = (table.column(n).to_numpy().astype(np.int64) for n in ("uid", "vec_id"))
-        values = [number, *_packed(uids, ids, lists)]
-        return pa.RecordBatch.from_pylist([dict(zip(["block", *_NAMES], values))], schema=_schema())
-
-    def _schema() -> pa.Schema:
-        kinds = [pa.int64(), pa.int32(), pa.int32(), pa.float64(), pa.binary(), pa.binary(), pa.binary()]
-        return pa.schema(list(zip(["block", *_NAMES], kinds)))
-
-    return rows.select("uid", "vec_id", "v").mapInArrow(run, f"block bigint, {_FIELDS}")
-
-
 class Block:
     """Unpacked rows: ids, whole-number vectors, lengths and directions."""
 
@@ -131,6 +104,10 @@ class Bucket(Block):
         query.widen(width)
         self.directions = self.vectors / np.maximum(self.norms, 1e-300)[:, None]
 
+    def forget(self) -> None:
+        """Drops what was made for pruning; it is larger than the rows."""
+        self._orders, self.directions = {}, None
+
     def _range(self, coordinate: int, low: float, high: float) -> np.ndarray:
         if coordinate not in self._orders:
             order = np.argsort(self.directions[:, coordinate], kind="stable")
@@ -176,9 +153,37 @@ class Bucket(Block):
         return rows[order], scores[order]
 
 
-def _paired(left: DataFrame, buckets: DataFrame) -> DataFrame:
-    named = buckets.select(F.col("block").alias("bucket"), *[F.col(n).alias(f"b_{n}") for n in _NAMES])
-    return left.join(named, "bucket")
+def _places(rows: DataFrame, bucket: int) -> tuple[DataFrame, int]:
+    """Rows by falling length with the number of their group, a bounded stretch of that order; and the number of groups."""
+    # The id breaks ties of the length, so copies of one vector spread over partitions.
+    ordered = rows.repartitionByRange(F.desc("norm"), "uid").sortWithinPartitions(F.desc("norm"), "uid")
+    spot = F.monotonically_increasing_id()
+    kept = stage(ordered.select("*", F.shiftright(spot, 33).alias("part"), spot.bitwiseAND(2**33 - 1).alias("spot")), "ordered-vectors")
+    counts = sorted(tuple(r) for r in kept.groupBy("part").agg(F.count(F.lit(1)), F.max(F.size("v"))).collect())
+    before = dict(zip([p for p, *_ in counts], np.cumsum([0] + [n for _, n, _ in counts]).tolist()))
+    total, width = sum(n for _, n, _ in counts), max([w for *_, w in counts] + [1])
+    tasks = 8 * rows.sparkSession.sparkContext.defaultParallelism
+    size = max(bucket, min(GROUP // width, math.ceil(total / tasks)))
+    starts = rows.sparkSession.createDataFrame([*before.items()] if counts else [], "part bigint, start bigint")
+    placed = kept.join(F.broadcast(starts), "part")
+    place = F.floor((F.col("start") + F.col("spot")) / F.lit(size)).cast("int")
+    return placed.select(place.alias("place"), "uid", "vec_id", "v", "norm"), math.ceil(total / size)
+
+
+def _block(uids, ids, lists) -> dict:
+    """A packed row of the given rows."""
+    return dict(zip(_NAMES, _packed(np.asarray(uids, np.int64), np.asarray(ids, np.int64), lists)))
+
+
+def _lists(column: pa.Array) -> list[np.ndarray]:
+    """Numbers of each row of a list column."""
+    flat, ends = column.flatten().to_numpy(zero_copy_only=False).astype(np.int64), np.cumsum(pc.list_value_length(column).to_numpy(zero_copy_only=False))
+    return np.split(flat, ends[:-1]) if len(ends) else []
+
+
+def _pieces(batch: pa.RecordBatch, size: int) -> Iterator[pa.RecordBatch]:
+    for start in range(0, batch.num_rows, size):
+        yield batch.slice(start, size)
 
 
 def search(
@@ -190,86 +195,91 @@ def search(
     scale: int = SCALE,
     bucket: int = BUCKET,
 ) -> DataFrame:
-    """(query_id, rank, vec_id, score): the k best other rows of every row where ``is_query`` holds."""
+    """(query_id, rank, vec_id, score): the k best other rows of every row where ``is_query`` holds.
+
+    A group of buckets and the queries that it can still serve meet in one task. The
+    group's rows stay there, the queries go by one Arrow batch after the other, so a
+    task's memory depends on ``GROUP`` and not on the number of queries or vectors.
+    """
     rows = stage(usable(vectors, id_column, vector_column, scale), "vectors")
-    # The id breaks ties of the length, so copies of one vector spread over partitions.
-    ordered = rows.repartitionByRange(F.desc("norm"), "uid").sortWithinPartitions(F.desc("norm"), "uid")
-    buckets = stage(blocks(ordered, bucket), "norm-buckets")
-    queries = stage(blocks(rows.where(is_query).repartition("uid"), bucket), "query-blocks")
-    directory = buckets.select("block", "longest", "rows").orderBy(F.desc("longest"), "block").toPandas()
-    enough = directory[directory["rows"] > k]
-    numbers, longest = directory["block"].to_numpy(np.int64), directory["longest"].to_numpy(float)
-    seed = int(enough["block"].iloc[0]) if len(enough) else -1
+    placed, groups = _places(rows, bucket)
+    directory = placed.groupBy("place").agg(F.max("norm").alias("longest"), F.count(F.lit(1)).alias("rows")).orderBy("place").collect()
+    # Lengths fall along the groups: what a query can reach are the first ones.
+    longest = np.array([r["longest"] for r in directory], float)
+    enough = [r["place"] for r in directory if r["rows"] > k]
+    # The seed is one bucket, so its size is bounded.
+    top = placed.where(F.col("place") == enough[0]).orderBy(F.desc("norm"), "uid").limit(bucket).collect() if enough else []
+    seed = _block([r["uid"] for r in top], [r["vec_id"] for r in top], [r["v"] for r in top]) if top else None
 
     def prime(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            out = []
-            for row in batch.to_pylist():
-                query = Block(row)
-                thresholds = np.full(row["rows"], -np.inf)
-                if row["b_rows"] is not None:
-                    top = Bucket(row, "b_")
-                    top.meet(query)
-                    for q in range(row["rows"]):
-                        scores = top.best(query, q, -np.inf, k)[1]
+        """Queries with their threshold and the number of groups within it."""
+        bucket_of = Bucket(seed) if seed else None
+        for whole in batches:
+            for batch in _pieces(whole, bucket):
+                query = Block(_block(batch.column("uid"), batch.column("vec_id"), _lists(batch.column("v"))))
+                thresholds = np.full(batch.num_rows, -np.inf)
+                if bucket_of is not None:
+                    bucket_of.meet(query)
+                    for q in range(batch.num_rows):
+                        scores = bucket_of.best(query, q, -np.inf, k)[1]
                         if len(scores) == k:
                             thresholds[q] = scores[-1]
-                out.append(route(row, query, thresholds))
-            yield from out
-
-    def route(row: dict, query: Block, thresholds: np.ndarray) -> pa.RecordBatch:
-        """The queries that each bucket can still serve."""
-        width = row["width"]
-        own = np.frombuffer(row["numbers"], np.int64).reshape(row["rows"], width)
-        sent = []
-        for number, length in zip(numbers, longest):
-            keep = query.norms * length * (1 + 1e-9) >= thresholds
-            if keep.any():
-                sent.append(
-                    {
-                        "bucket": int(number),
-                        "rows": int(keep.sum()),
-                        "width": width,
-                        "uids": query.uids[keep].tobytes(),
-                        "ids": query.ids[keep].tobytes(),
-                        "numbers": own[keep].tobytes(),
-                        "thresholds": thresholds[keep].tobytes(),
-                    }
+                reach = query.norms[:, None] * longest[None, :] * (1 + 1e-9) >= thresholds[:, None]
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column("uid"), batch.column("vec_id"), batch.column("v"), pa.array(thresholds), pa.array(reach.sum(axis=1).astype(np.int32))],
+                    ["uid", "vec_id", "v", "threshold", "groups"],
                 )
-        kinds = [pa.int64(), pa.int32(), pa.int32(), pa.binary(), pa.binary(), pa.binary(), pa.binary()]
-        names = ["bucket", "rows", "width", "uids", "ids", "numbers", "thresholds"]
-        return pa.RecordBatch.from_pylist(sent, schema=pa.schema(list(zip(names, kinds))))
 
     def answer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for row in batch.to_pylist():
-                own, query = Bucket(row, "b_"), Block(row)
-                own.meet(query)
-                thresholds = np.frombuffer(row["thresholds"], np.float64)
-                out = []
-                for q in range(row["rows"]):
-                    found, scores = own.best(query, q, thresholds[q], k)
-                    size = len(found)
-                    out.append(
-                        (
-                            np.repeat(query.uids[q], size),
-                            np.repeat(query.ids[q], size),
-                            own.uids[found],
-                            own.ids[found],
-                            scores,
-                        )
-                    )
-                columns = [pa.array(np.concatenate(c).astype(np.int64)) for c in zip(*out)]
-                yield pa.RecordBatch.from_arrays(columns, ["query_uid", "query_id", "uid", "vec_id", "score"])
-
-    routed_schema = "bucket bigint, rows int, width int, uids binary, ids binary, numbers binary, thresholds binary"
-    named = buckets.where(F.col("block") == seed).select(
-        F.col("block").alias("bucket"), *[F.col(n).alias(f"b_{n}") for n in _NAMES]
+        place, held, buckets = None, [], []
+        for whole in batches:
+            start, places, asks = 0, whole.column("place").to_numpy(), whole.column("threshold").is_valid().to_numpy(zero_copy_only=False)
+            ends = [*(np.flatnonzero((np.diff(places) != 0) | (np.diff(asks.astype(int)) != 0)) + 1).tolist(), whole.num_rows]
+            for end in ends:
+                batch, start = whole.slice(start, end - start), end
+                if not batch.num_rows:
+                    continue
+                if place != batch.column("place")[0].as_py():
+                    place, held, buckets = batch.column("place")[0].as_py(), [], []
+                if not batch.column("threshold")[0].is_valid:
+                    held.append(batch.select(["uid", "vec_id", "v"]))
+                    continue
+                if held:
+                    own = pa.Table.from_batches(held).combine_chunks().to_batches()
+                    buckets, held = [Bucket(_block(b.column("uid"), b.column("vec_id"), _lists(b.column("v")))) for o in own for b in _pieces(o, bucket)], []
+                for piece in _pieces(batch, bucket):
+                    yield served(piece, buckets)
+
+    def served(batch: pa.RecordBatch, buckets: list[Bucket]) -> pa.RecordBatch:
+        """The k best rows of a group for each query; what one bucket offers raises the threshold for the next."""
+        query = Block(_block(batch.column("uid"), batch.column("vec_id"), _lists(batch.column("v"))))
+        thresholds = batch.column("threshold").to_numpy(zero_copy_only=False).copy()
+        best = [np.zeros((0, 3), np.int64)] * batch.num_rows
+        for own in buckets:
+            own.meet(query)
+            for q in np.flatnonzero(query.norms * own.norms.max() * (1 + 1e-9) >= thresholds):
+                found, scores = own.best(query, q, thresholds[q], k)
+                if not len(found):
+                    continue
+                both = np.concatenate([best[q], np.stack([scores, own.ids[found], own.uids[found]], axis=1)])
+                best[q] = both[np.lexsort((both[:, 2], both[:, 1], -both[:, 0]))[:k]]
+                if len(best[q]) == k:
+                    thresholds[q] = max(thresholds[q], best[q][-1, 0])
+            own.forget()
+        sizes = [len(b) for b in best]
+        flat = np.concatenate(best)
+        columns = [np.repeat(query.uids, sizes), np.repeat(query.ids, sizes), flat[:, 2], flat[:, 1], flat[:, 0]]
+        return pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["query_uid", "query_id", "uid", "vec_id", "score"])
+
+    asked = rows.where(is_query).select("uid", "vec_id", "v").repartition("uid")
+    primed = asked.mapInArrow(prime, "uid bigint, vec_id bigint, v array<bigint>, threshold double, groups int")
+    routed = primed.where("groups > 0").select(
+        F.explode(F.sequence(F.lit(0), F.col("groups") - 1)).alias("place"), "uid", "vec_id", "v", F.lit(None).cast("double").alias("norm"), "threshold"
     )
-    # Exploded, so that the number stays a join key.
-    primed = queries.withColumn("bucket", F.explode(F.array(F.lit(seed).cast("long")))).join(named, "bucket", "left")
-    routed = stage(primed.mapInArrow(prime, routed_schema), "routed-queries")
-    found = _paired(routed, buckets).mapInArrow(
+    # Rows of a group come first, by falling length, then its queries.
+    met = placed.withColumn("threshold", F.lit(None).cast("double")).unionByName(routed)
+    dealt = met.repartition(max(groups, 1), "place").sortWithinPartitions("place", F.col("threshold").isNotNull(), F.desc("norm"), "uid")
+    found = dealt.drop("norm").mapInArrow(
         answer, "query_uid bigint, query_id bigint, uid bigint, vec_id bigint, score bigint"
     )
     order = Window.partitionBy("query_uid").orderBy(F.desc("score"), "vec_id", "uid")

@@ -119,3 +119,21 @@ def test_a_copy_of_a_peaked_query_is_not_pruned():
     for q in range(2):
         edge = 0.6 * query.norms[q] ** 2
         assert list(bucket.remaining(query.vectors[q], query.norms[q], edge)) == [q]
+
+
+def test_queries_and_vectors_meet_as_small_rows(spark, capsys):
+    rng = random.Random(3)
+    rows = [(i, [rng.gauss(0, 1) for _ in range(4)]) for i in range(400)]
+    df = spark.createDataFrame(rows, "vec_id bigint, embedding array<double>")
+    found = topk_search.search(df, F.col("vec_id") % 2 == 0, bucket=16)
+    capsys.readouterr()
+    found.explain()
+    plan = capsys.readouterr().out
+    # No row that a task reads holds a packed block, and no table of vectors or queries is broadcast.
+    assert "numbers" not in plan and plan.count("BroadcastExchange") == 1 and "start#" in plan
+
+
+def test_groups_of_buckets_stay_bounded(spark, monkeypatch):
+    monkeypatch.setattr(topk_search, "GROUP", 64)
+    rng = random.Random(5)
+    check(spark, [(i, [rng.gauss(0, 1) for _ in range(4)]) for i in range(500)], bucket=8)
