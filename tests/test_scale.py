@@ -316,3 +316,29 @@ def test_game_views_ask_both_starters_at_once(spark, monkeypatch):
     assert asked[0] == ["game_pk", "game_date", "_side", "_arm"] and len(asked) == 2
     got = {r.game_pk: (r.game_date, r.home_sp_k_rate_roll7, r.away_sp_k_rate_roll7, r.home_team_rbi_roll7, r.away_team_lineup_count) for r in view.collect()}
     assert got == {1: (day, 0.25, 0.5, 1.0, 1), None: (day, 0.5, None, None, None), 2: (day, None, 0.25, 1.0, None)}
+
+
+def test_boards_get_the_columns_they_read(spark):
+    view = spark.createDataFrame(
+        [("n", "A", 0.1, 1, 0.2, 3.0, 9)], "player_name string, team string, iso double, season int, rbi_weather_delta double, lineup_spot double, home_starter_pitcher_id int"
+    )
+    assert views._staged_view(view, "view", boards.RBI_BOARD).columns == ["player_name", "team", "iso", "rbi_weather_delta", "lineup_spot"]
+
+
+def test_teams_of_a_game_are_added_up_once(spark, unhinted, capsys):
+    day = dt.date(2024, 5, 1)
+    spine = spark.createDataFrame(
+        [(1, day, "A", "B", 5, None), (2, day, "A", None, 5, 6), (None, day, "A", "B", 5, 6)],
+        "game_pk int, game_date date, home_team string, away_team string, home_sp_id int, away_sp_id int",
+    )
+    columns = ["expected_pa", "expected_hr_neutral_player", "expected_hr_today_player", "env_hr_delta_player", "barrel_rate", "iso", "hr_per_pa", "hard_hit_rate", "flyball", "pulled_air"]
+    names = [(1, "A", "x"), (1, "A", None), (1, "B", "y"), (2, "A", "x"), (2, None, "z")]
+    players = spark.createDataFrame(names, "game_pk int, team string, player_name string").select(
+        "*", F.lit(day).alias("game_date"), *[F.lit(0.25).alias(c) for c in columns]
+    )
+    view = features.no_hr_view(spine, players)
+    got = {r.game_pk: (r.home_lineup_count, r.away_lineup_count, r.expected_hr_today, r.home_avg_iso, r.away_avg_iso, f"{r.expected_hr_today_adj:.2f}") for r in view.collect()}
+    assert got == {
+        1: (1, 1, 0.75, 0.25, 0.25, "0.96"), 2: (1, 0, 0.25, 0.25, None, "0.41"), None: (0, 0, 0.0, None, None, "0.16"),
+    }
+    assert plan_of(view, capsys).count("Exchange hashpartitioning") == 2
